@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, GroupedData
 from pyspark.sql import functions as F
 
 from reviewflow.functions.clock import log_second
@@ -31,9 +31,10 @@ def flatten_silver_log(log: DataFrame) -> DataFrame:
         add_batch.cast("double").alias("addBatch_ms"))
 
 
-def _by_window(flat: DataFrame, every: str, lateness: str | None) -> tuple:
+def _by_window(flat: DataFrame, every: str, lateness: str | None) -> GroupedData:
     if lateness:
-        flat = flat.withWatermark("timestamp", lateness)
+        # Watermarks need an instant; the result goes back to wall time.
+        flat = flat.withColumn("timestamp", F.col("timestamp").cast("timestamp")).withWatermark("timestamp", lateness)
     return flat.where("timestamp is not null").groupBy(F.window("timestamp", every).alias("w"))
 
 
@@ -44,7 +45,7 @@ def rollup_bronze(log: DataFrame, every: str = MINUTE, lateness: str | None = No
         F.sum("valid_records").alias("valid_records"),
         F.sum("invalid_records").alias("invalid_records"))
     return sums.select(
-        F.col("w.start").alias("timestamp"), "total_received", "valid_records", "invalid_records",
+        F.col("w.start").cast("timestamp_ntz").alias("timestamp"), "total_received", "valid_records", "invalid_records",
         error_percent(F.col("invalid_records"), F.col("total_received")).alias("error_rate_percent"))
 
 
@@ -56,7 +57,7 @@ def rollup_silver(log: DataFrame, every: str = MINUTE, lateness: str | None = No
         F.avg("addBatch_ms").alias("addBatch_ms"),
         F.sum("total_input_rows").alias("total_input_rows"))
     return means.select(
-        F.col("w.start").alias("timestamp"), "input_rows_per_second", "processed_rows_per_second",
+        F.col("w.start").cast("timestamp_ntz").alias("timestamp"), "input_rows_per_second", "processed_rows_per_second",
         "addBatch_ms", "total_input_rows")
 
 

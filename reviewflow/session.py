@@ -28,7 +28,7 @@ def session_settings(cores: int, shuffled_bytes: int = 0) -> dict[str, str]:
         "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
         "spark.sql.files.maxPartitionBytes": str(SHUFFLE_PARTITION_BYTES),
         "spark.sql.parquet.filterPushdown": "true",
-        "spark.sql.sources.partitionOverwriteMode": "dynamic",
+        "spark.sql.sources.parallelPartitionDiscovery.parallelism": str(cores * 4),
     }
 
 

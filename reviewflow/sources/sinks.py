@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 
@@ -18,13 +19,28 @@ def write_json(df: DataFrame, path: str, batch_id: int | None = None) -> None:
         df.write.mode("overwrite").json(f"{path}/batch_id={batch_id}")
 
 
+def gather(df: DataFrame, by: str, tasks: int, shards: int) -> DataFrame:
+    """Bring the rows of one value of ``by`` into at most ``shards`` tasks.
+
+    The shard follows the input task, so even a value (or one repeated row)
+    that fills most of the input is cut into equal parts.
+    """
+    shard = F.pmod(F.spark_partition_id(), F.lit(shards))
+    return df.withColumn("_shard", shard).repartition(tasks, by, "_shard").drop("_shard")
+
+
 def write_partitioned_stream(df: DataFrame, path: str, checkpoint: str, by: str = "review_date",
-                             fmt: str = "parquet", trigger: dict | None = None) -> StreamingQuery:
+                             fmt: str = "parquet", trigger: dict | None = None,
+                             shards: int | None = None) -> StreamingQuery:
     """Checkpointed append of a stream, one folder per value of ``by``.
 
+    Without ``shards`` nothing is shuffled and every task writes its own file
+    per value; with it a micro-batch leaves at most ``shards`` files per value.
     ``trigger`` goes to ``DataStreamWriter.trigger``; the default is the
     one-minute cadence. ``fmt="delta"`` needs the Delta jar.
     """
+    if shards:
+        df = gather(df, by, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), shards)
     return (
         df.writeStream.format(fmt)
         .outputMode("append")

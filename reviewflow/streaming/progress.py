@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import threading
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQueryListener
 
@@ -19,6 +21,11 @@ class ProgressLog(StreamingQueryListener):
     def __init__(self, spark: SparkSession, path: str, query: str | None = None):
         super().__init__()
         self._spark, self._path, self._query = spark, path, query
+        self._written = threading.Semaphore(0)
+
+    def wait(self, records: int, seconds: float = 30.0) -> bool:
+        """Block until ``records`` progress records are on disk."""
+        return all(self._written.acquire(timeout=seconds) for _ in range(records))
 
     def onQueryStarted(self, event) -> None:
         pass
@@ -37,6 +44,7 @@ class ProgressLog(StreamingQueryListener):
         record = self._spark.createDataFrame([entry], SILVER_LOG_SCHEMA).coalesce(1)
         stamp = progress.timestamp.replace(":", "-")
         record.write.mode("overwrite").json(f"{self._path}/run={progress.runId}/at={stamp}-{progress.batchId}")
+        self._written.release()
 
     def onQueryIdle(self, event) -> None:
         pass

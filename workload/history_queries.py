@@ -2,20 +2,20 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reviewflow.operators.asof import profile_versions
 from reviewflow.operators.history import empty_history, scd2_snapshot
 from reviewflow.operators.merge import incremental_append, upsert
+from reviewflow.operators.rollup import rollup_bronze
 from reviewflow.plans import dims, facts, measures
 from reviewflow.plans.staging import stage_reviews, with_review_date
-from reviewflow.operators.rollup import rollup_bronze
 from reviewflow.session import materialize, new_path
-from reviewflow.sources.files import demo_products, first_non_empty, read_table
-from workload.inputs import LOAD_DATES, LOGS_SQL, REVIEWS_SQL, SNAPSHOT_TIMES, bronze_log, reviews, table
+from reviewflow.sources.files import demo_products, first_non_empty
+from workload.inputs import (
+    LOAD_DATES, LOGS_SQL, REVIEWS_SQL, SNAPSHOT_TIMES, bronze_log, reviews, staged_folder, table,
+)
 from workload.registry import query
 from workload.review_queries import STAGED_SQL
 
@@ -28,13 +28,13 @@ def staged(spark: SparkSession, sf_dir: str, fields: list[str] | None = None) ->
 
 
 def _history(rows: DataFrame, current, key: str, check: list[str]) -> DataFrame:
-    """Snapshots after each load; a load sees all rows up to its day."""
+    """Snapshots after each load; a load sees all rows up to its day. Each
+    snapshot but the last is stored, as it is between two daily runs."""
     states = [current(rows.where(F.col("date_id") <= F.lit(day).cast("date"))) for day in LOAD_DATES]
-    states.append(current(rows))
-    steps = zip(states, SNAPSHOT_TIMES)
-    return reduce(
-        lambda history, step: scd2_snapshot(history, step[0], key, check, step[1]),
-        steps, empty_history(states[0], key, check))
+    history = empty_history(states[0], key, check)
+    for state, moment in zip(states, SNAPSHOT_TIMES):
+        history = materialize(scd2_snapshot(history, state, key, check, moment), "history")
+    return scd2_snapshot(history, current(rows), key, check, SNAPSHOT_TIMES[-1])
 
 
 def product_history(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -161,6 +161,17 @@ def dim_stores(spark, sf_dir):
 
 # --- facts ------------------------------------------------------------------
 
+def product_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stored product dimension, the table facts are joined to."""
+    return spark.read.parquet(staged_folder(
+        spark, sf_dir, "dim-products", lambda path: dims.dim_products(product_history(spark, sf_dir)).write.parquet(path)))
+
+
+def store_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(staged_folder(
+        spark, sf_dir, "dim-stores", lambda path: dims.dim_stores(store_history(spark, sf_dir)).write.parquet(path)))
+
+
 def _asof_sql(name: str, key: str) -> str:
     return f"""LEFT JOIN {name}_history {name} ON stg.{key} = {name}.{key}
     AND stg.date_id >= CAST({name}.dbt_valid_from AS DATE)
@@ -172,7 +183,7 @@ SELECT order_id, stg.product_id AS original_product_id, CAST(date_id AS VARCHAR)
 FROM stg {_asof_sql('product', 'product_id')}""")
 def asof_product(spark, sf_dir):
     fact = facts.fact_measures(staged(spark, sf_dir, ["orderID", "asin", "unixReviewTime"]))
-    versions = materialize(dims.dim_products(product_history(spark, sf_dir)), "dim-products")
+    versions = product_versions(spark, sf_dir)
     return facts.asof_product(fact, versions, profile_versions(versions, "original_product_id"))
 
 
@@ -181,7 +192,7 @@ SELECT order_id, stg.store_id AS original_store_id, CAST(date_id AS VARCHAR) AS
 FROM stg {_asof_sql('store', 'store_id')}""")
 def asof_store(spark, sf_dir):
     fact = facts.fact_measures(staged(spark, sf_dir, ["orderID", "storeID", "unixReviewTime"]))
-    versions = materialize(dims.dim_stores(store_history(spark, sf_dir)), "dim-stores")
+    versions = store_versions(spark, sf_dir)
     return facts.asof_store(fact, versions, profile_versions(versions, "original_store_id"))
 
 
@@ -199,8 +210,8 @@ FACT_TEXT = """* REPLACE (CAST(date_id AS VARCHAR) AS date_id, CAST(total_amount
 
 
 def fact_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    products = materialize(dims.dim_products(product_history(spark, sf_dir)), "dim-products")
-    stores = materialize(dims.dim_stores(store_history(spark, sf_dir)), "dim-stores")
+    products = product_versions(spark, sf_dir)
+    stores = store_versions(spark, sf_dir)
     return facts.fact_sales(
         staged(spark, sf_dir, FACT_FIELDS), products, stores,
         profile_versions(products, "original_product_id"), profile_versions(stores, "original_store_id"))
@@ -270,16 +281,6 @@ def rating_distribution(spark, sf_dir):
 SILVER_FIELDS = ["orderID", "asin", "storeID", "overall", "unixReviewTime"]
 
 
-@query("silver_scan", f"""WITH {STAGED_SQL}
-SELECT CAST(date_id AS VARCHAR) AS review_date, count(*) AS n, count(rating_score) AS rated FROM stg GROUP BY date_id""")
-def silver_scan(spark, sf_dir):
-    path = new_path(spark, "silver")
-    rows = with_review_date(reviews(spark, sf_dir, SILVER_FIELDS))
-    rows.hint("rebalance", "review_date").write.partitionBy("review_date").parquet(path)
-    return read_table(spark, path).groupBy("review_date").agg(
-        F.count("*").alias("n"), F.count("overall").alias("rated"))
-
-
 @query("incremental_load", f"""WITH {REVIEWS_SQL} SELECT "orderID", asin, "storeID", overall, "unixReviewTime"
 FROM reviews""")
 def incremental_load(spark, sf_dir):
