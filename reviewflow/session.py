@@ -65,6 +65,13 @@ def new_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/reviewflow/{app}/{label}-{uuid.uuid4().hex[:12]}"
 
 
+def release(spark: SparkSession) -> None:
+    """Delete what this application wrote to the shared folder."""
+    from reviewflow.sources.folders import delete
+
+    delete(spark, f"{shared_folder(spark)}/reviewflow/{spark.sparkContext.applicationId}")
+
+
 def materialize(df: DataFrame, label: str, partition_by: list[str] | None = None) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 

@@ -26,7 +26,8 @@ from reviewflow.streaming.progress import ProgressLog, read_progress
 from reviewflow.streaming.router import Landing, read_batch_log, read_speed_layer, start_router
 from reviewflow.streaming.silver import start_silver
 from workload.inputs import (
-    INVALID_SQL, LOGS_SQL, PARSED_SQL, REVIEWS_SQL, bronze_log, messages, reviews, staged_folder, table,
+    INVALID_SQL, LOGS_SQL, PARSED_SQL, REVIEWS_SQL, bronze_log, message_folder, messages, reviews, staged_folder,
+    table,
 )
 from workload.registry import query
 
@@ -36,15 +37,11 @@ KEYS_SQL = ", ".join(f'"{name}"' for name in KEYS)
 ROUTE_SQL = f"CASE WHEN {INVALID_SQL} THEN 'dlq' ELSE 'bronze' END"
 
 
-def message_folder(spark: SparkSession, sf_dir: str) -> str:
-    return staged_folder(spark, sf_dir, "messages", lambda path: messages(spark, sf_dir).write.text(path))
-
-
 def routed_folder(spark: SparkSession, sf_dir: str, kind: str) -> str:
     """Bronze or dead-letter JSON of the whole message stream."""
 
     def write(path: str) -> None:
-        valid, rejected = route(parse_reviews(spark.read.text(message_folder(spark, sf_dir))))
+        valid, rejected = route(parse_reviews(messages(spark, sf_dir)))
         write_json({BRONZE: valid, DLQ: rejected}[kind], path)
 
     return staged_folder(spark, sf_dir, kind, write)
@@ -62,11 +59,11 @@ def silver_folder(spark: SparkSession, sf_dir: str) -> str:
 
 
 def fragmented_folder(spark: SparkSession, sf_dir: str) -> str:
-    """The same rows by store, as several tasks left them."""
+    """The same rows by rating, as several tasks left them."""
 
     def write(path: str) -> None:
         rows = reviews(spark, sf_dir, KEYS)
-        rows.repartition(spark.sparkContext.defaultParallelism).write.partitionBy("storeID").parquet(path)
+        rows.repartition(spark.sparkContext.defaultParallelism).write.partitionBy("overall").parquet(path)
 
     return staged_folder(spark, sf_dir, "fragmented", write)
 
@@ -216,7 +213,7 @@ def dlq_compaction(spark, sf_dir):
 @query("table_compaction", f"WITH {REVIEWS_SQL} SELECT {KEYS_SQL} FROM reviews")
 def table_compaction(spark, sf_dir):
     target = new_path(spark, "compacted")
-    compact_table(spark, fragmented_folder(spark, sf_dir), target, "storeID")
+    compact_table(spark, fragmented_folder(spark, sf_dir), target, "overall")
     return read_table(spark, target).select(KEYS)
 
 
@@ -224,11 +221,11 @@ def table_compaction(spark, sf_dir):
 def expired_files_query(spark, sf_dir):
     """Files of the fragmented table once it has been compacted: none is live."""
     source, target = fragmented_folder(spark, sf_dir), new_path(spark, "compacted")
-    compact_table(spark, source, target, "storeID")
+    compact_table(spark, source, target, "overall")
     later = F.current_timestamp() + F.expr("INTERVAL 8 DAYS")
     old = expired_files(spark, source, list_files(spark, target), later)
     return old.where(F.col("path").endswith(".parquet")).select(
-        F.regexp_extract("path", "storeID=([^/]+)", 1).alias("storeID"), "bytes", "age_hours")
+        F.regexp_extract("path", "overall=([^/]+)", 1).alias("overall"), "bytes", "age_hours")
 
 
 @query("session_archive")

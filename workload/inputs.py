@@ -137,14 +137,6 @@ LOAD_DATES = ["1996-06-30", "1998-06-30", "2000-06-30"]
 SNAPSHOT_TIMES = [f"{day} 12:00:00" for day in (*LOAD_DATES, "2001-12-31")]
 
 
-def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw message texts: the reviews as JSON, some of them unreadable."""
-    event = F.to_json(F.struct(*[_field(name) for name in FIELDS]))
-    broken = F.expr("(l_orderkey + l_suppkey) % 53 = 0")
-    return _joined(spark, sf_dir, set(_JOINS)).select(
-        F.when(broken, F.concat(F.lit("not json "), event)).otherwise(event).alias("value"))
-
-
 # What parsing those messages gives: unreadable ones have no fields.
 PARSED_SQL = REVIEWS_SQL + """,
 parsed AS (
@@ -156,6 +148,37 @@ parsed AS (
 )"""
 
 
+def staged_folder(spark: SparkSession, sf_dir: str, label: str, write) -> str:
+    """Folder with an input that a file source must find on disk.
+
+    Written once per application and shared by the queries that read it.
+    """
+    app = spark.sparkContext.applicationId
+    of = hashlib.md5(sf_dir.encode()).hexdigest()[:10]
+    path = f"{shared_folder(spark)}/reviewflow/{app}/input-{of}/{label}"
+    if not exists(spark, f"{path}/_SUCCESS"):
+        write(path)
+    return path
+
+
+def message_folder(spark: SparkSession, sf_dir: str) -> str:
+    """Message lines on disk: the reviews as JSON, some of them unreadable."""
+
+    def write(path: str) -> None:
+        event = F.to_json(F.struct(*[_field(name) for name in FIELDS]))
+        broken = F.expr("(l_orderkey + l_suppkey) % 53 = 0")
+        lines = _joined(spark, sf_dir, set(_JOINS)).repartition(spark.sparkContext.defaultParallelism).select(
+            F.when(broken, F.concat(F.lit("not json "), event)).otherwise(event).alias("value"))
+        lines.write.text(path)
+
+    return staged_folder(spark, sf_dir, "messages", write)
+
+
+def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The message lines as a batch."""
+    return spark.read.text(message_folder(spark, sf_dir))
+
+
 def bronze_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One batch record per event; errors reject half of their rows."""
     return (
@@ -232,16 +255,3 @@ silver_metrics AS (
     CAST(sum(total_input_rows) AS BIGINT) AS total_input_rows
   FROM silver_flat GROUP BY 1
 )"""
-
-
-def staged_folder(spark: SparkSession, sf_dir: str, label: str, write) -> str:
-    """Folder with an input that a file source must find on disk.
-
-    Written once per application and shared by the queries that read it.
-    """
-    app = spark.sparkContext.applicationId
-    of = hashlib.md5(sf_dir.encode()).hexdigest()[:10]
-    path = f"{shared_folder(spark)}/reviewflow/{app}/input-{of}/{label}"
-    if not exists(spark, f"{path}/_SUCCESS"):
-        write(path)
-    return path

@@ -23,6 +23,7 @@ KEYS = ["reviewerID", "asin", "overall", "unixReviewTime", "orderID"]
 KEYS_SQL = '"reviewerID", asin, overall, "unixReviewTime", "orderID"'
 RATED_SQL = f"WITH {REVIEWS_SQL}, rated AS (SELECT * FROM reviews WHERE overall IS NOT NULL)"
 
+CHECKED = ["reviewerID", "asin", "overall"]
 SCALARS = [name for name in FIELDS if name != "helpful"]
 
 
@@ -56,7 +57,7 @@ SELECT CASE WHEN {INVALID_SQL} THEN 'dlq' ELSE 'bronze' END AS route, count(*) A
   count(CASE WHEN {INVALID_SQL} THEN 1 END) AS with_raw
 FROM parsed GROUP BY 1""")
 def route_counts(spark, sf_dir):
-    routed = mark_route(parse_reviews(messages(spark, sf_dir)))
+    routed = mark_route(parse_reviews(messages(spark, sf_dir), fields=CHECKED))
     return routed.groupBy("route").agg(F.count("*").alias("n"), F.count("raw_json").alias("with_raw"))
 
 
@@ -186,7 +187,7 @@ SELECT id, TRUE AS in_raw, in_dlq, 'received' AS ingestion,
   coalesce(dlq_payload, raw_payload) AS payload
 FROM found""")
 def record_trace(spark, sf_dir):
-    parsed = parse_reviews(messages(spark, sf_dir))
+    parsed = parse_reviews(messages(spark, sf_dir), fields=[*CHECKED, "orderID"])
     return trace_records(None, parsed, parsed.where(is_invalid()), payload="orderID")
 
 
@@ -208,7 +209,7 @@ SELECT count(*) AS total_received, count(CASE WHEN NOT {INVALID_SQL} THEN 1 END)
   count(CASE WHEN {INVALID_SQL} THEN 1 END) / count(*) < CAST(0.2 AS DOUBLE) AS is_acceptable
 FROM parsed""")
 def batch_quality_query(spark, sf_dir):
-    return batch_quality(mark_route(parse_reviews(messages(spark, sf_dir))))
+    return batch_quality(mark_route(parse_reviews(messages(spark, sf_dir), fields=CHECKED)))
 
 
 @query("ingest_stats", """SELECT source, count(*) AS messages, CAST(sum(strlen(text)) AS BIGINT) AS total_bytes,
@@ -256,7 +257,7 @@ DLQ_SQL = f"""WITH {PARSED_SQL}, causes AS (
 
 @query("dlq_root_cause", f"{DLQ_SQL} SELECT * FROM causes")
 def dlq_root_cause_query(spark, sf_dir):
-    return dlq_root_cause(route(parse_reviews(messages(spark, sf_dir)))[1])
+    return dlq_root_cause(route(parse_reviews(messages(spark, sf_dir), fields=CHECKED))[1])
 
 
 @query("dlq_alert", f"""{DLQ_SQL}
@@ -264,7 +265,7 @@ SELECT *, 'reviewerID: ' || "missing_reviewerID" || '; asin: ' || missing_asin |
     AS causes, '@Data_Engineering_Team, @Backend_API_Team' AS recipients
 FROM causes WHERE total_rejected > 0""")
 def dlq_alert_query(spark, sf_dir):
-    return dlq_alert(route(parse_reviews(messages(spark, sf_dir)))[1])
+    return dlq_alert(route(parse_reviews(messages(spark, sf_dir), fields=CHECKED))[1])
 
 
 @query("table_audit", "SELECT count(*) AS row_count, 11 AS column_count FROM lineitem")
