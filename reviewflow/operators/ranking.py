@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import math
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from reviewflow.functions.clock import clock_label, local_time
@@ -15,9 +17,32 @@ FEED_COLUMNS = ["asin", "overall", "reviewerName", "summary", "reviewText"]
 FEED_ROWS = 30
 
 
-def latest_rows(df: DataFrame, n: int, order: list[str]) -> DataFrame:
-    """The last ``n`` rows by ``order``: each task keeps n rows, then they merge."""
-    return df.orderBy(*[F.desc(name) for name in order]).limit(n)
+# From this many shuffle partitions on, top-k merges in two rounds.
+WIDE_CLUSTER = 1_000
+
+
+def top_rows(df: DataFrame, n: int, order: list[Column | str], shards: int | None = None) -> DataFrame:
+    """The first ``n`` rows by ``order``.
+
+    Every task keeps its own n rows and one task merges them. On a wide
+    cluster that task would read n rows from each of very many others, so
+    ``shards`` tasks merge first; the default follows the session's shuffle
+    partitions.
+    """
+    if shards is None:
+        partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        shards = math.isqrt(partitions) if partitions >= WIDE_CLUSTER else 0
+    if shards:
+        window = Window.partitionBy("_shard").orderBy(*order)
+        sharded = df.withColumn("_shard", F.pmod(F.spark_partition_id(), F.lit(shards)))
+        ranked = sharded.withColumn("_rank", F.row_number().over(window))
+        df = ranked.where(F.col("_rank") <= n).drop("_rank", "_shard")
+    return df.orderBy(*order).limit(n)
+
+
+def latest_rows(df: DataFrame, n: int, order: list[str], shards: int | None = None) -> DataFrame:
+    """The last ``n`` rows by ``order``, latest first."""
+    return top_rows(df, n, [F.desc(name) for name in order], shards)
 
 
 def latest_row(df: DataFrame, *order: str) -> DataFrame:
@@ -50,5 +75,5 @@ def feed(df: DataFrame, kind: str, order: list[str | Column], n: int = FEED_ROWS
         "positive": df.where(rating >= POSITIVE_FROM),
     }[kind]
     if kind != "negative":
-        rows = rows.orderBy(*order).limit(n)
+        rows = top_rows(rows, n, order)
     return select_existing(rows, FEED_COLUMNS)

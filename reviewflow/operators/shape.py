@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from reviewflow.functions.reviews import safe_rating
+
 
 def select_existing(df: DataFrame, wanted: list[str], rename: dict[str, str] | None = None,
                     drop: list[str] | None = None) -> DataFrame:
@@ -28,9 +30,7 @@ def check_columns(df: DataFrame, required: list[str]) -> tuple[list[str], list[s
 
 def safe_rating_rows(df: DataFrame, column: str = "overall") -> DataFrame:
     """Rating cast to double, rows without a usable rating dropped."""
-    from reviewflow.functions.reviews import safe_rating
-
-    return df.withColumn(column, safe_rating(column)).na.drop(subset=[column])
+    return df.withColumn(column, safe_rating(column)).where(F.col(column).isNotNull())
 
 
 def table_audit(df: DataFrame) -> DataFrame:

@@ -43,14 +43,20 @@ def with_review_date(df: DataFrame) -> DataFrame:
 
 
 def stage_reviews(silver: DataFrame) -> DataFrame:
-    """Rename, cast, and add the review id and the date. One projection: the
-    scan below reads only what the caller uses of it."""
+    """Rename, cast, and add the review id and the date.
+
+    One projection, so the scan below reads only what the caller uses of it.
+    On the silver table the date is its partition column, and a filter on
+    ``date_id`` skips whole folders.
+    """
     fields = [
         (F.col(source) if kind is None else F.col(source).cast(kind)).alias(name)
         for name, source, kind in STAGED_FIELDS if source in silver.columns]
     derived = []
-    if "unixReviewTime" in silver.columns:
+    if "review_date" in silver.columns:
+        derived.append(F.col("review_date").alias("date_id"))
+    elif "unixReviewTime" in silver.columns:
         derived.append(utc_date("unixReviewTime").alias("date_id"))
-        if {"reviewerID", "asin"} <= set(silver.columns):
-            derived.append(review_id().alias("review_id"))
+    if {"unixReviewTime", "reviewerID", "asin"} <= set(silver.columns):
+        derived.append(review_id().alias("review_id"))
     return silver.select(*fields, *derived)

@@ -60,6 +60,13 @@ def test_latest_and_top(spark):
     assert feed(reviews, "all", ["t"]).columns == ["asin", "overall"]
 
 
+def test_sharded_top_rows_equal_plain_ones(spark):
+    df = spark.createDataFrame(_skewed(), "t int, id int, k string, v double").repartition(8)
+    plain = latest_rows(df, 100, ["t", "id"], shards=0).collect()
+    assert latest_rows(df, 100, ["t", "id"], shards=3).collect() == plain
+    assert [(r.t, r.id) for r in plain] == sorted(((r[0], r[1]) for r in _skewed()), reverse=True)[:100]
+
+
 def _bronze_log(spark, rows):
     return spark.createDataFrame(
         [(stamp, n, (total, total - bad, bad, 0.0, 1.0), (True, [])) for n, (stamp, total, bad) in enumerate(rows)],
