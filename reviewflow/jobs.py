@@ -83,7 +83,7 @@ def audit(spark: SparkSession, args) -> None:
 
 
 def compact_dlq(spark: SparkSession, args) -> None:
-    print(maintain.compact_text(spark, args.dlq, args.target, pattern="*.json"), "files")
+    print(maintain.compact_dlq(spark, args.dlq, args.target), "batches compacted")
 
 
 def expired(spark: SparkSession, args) -> None:

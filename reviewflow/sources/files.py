@@ -27,7 +27,7 @@ def read_table(spark: SparkSession, path: str, fmt: str = "parquet", merge_schem
     return reader.load(path)
 
 
-def list_files(spark: SparkSession, path: str, pattern: str | None = None) -> DataFrame:
+def list_files(spark: SparkSession, path: str | list[str], pattern: str | None = None) -> DataFrame:
     """One row per file: path, bytes, modified. File contents are not read."""
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
     if pattern:
@@ -62,8 +62,8 @@ def read_ndjson_union(spark: SparkSession, paths: list[str], schema: StructType
 
 
 def read_dlq(spark: SparkSession, *paths: str) -> DataFrame:
-    """All rejected rows, from small and compacted files alike."""
-    return spark.read.schema(DLQ_SCHEMA).json(list(paths))
+    """All rejected rows under the given folders, small files and compacted ones alike."""
+    return spark.read.schema(DLQ_SCHEMA).option("recursiveFileLookup", True).json(list(paths))
 
 
 def first_non_empty(*frames: DataFrame) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from reviewflow import session
 from reviewflow.operators.maintain import (
-    archive_session, clear_dlq, compact_fragmented, compact_table, compact_text, expired_files, file_plan,
+    archive_session, clear_dlq, compact_dlq, compact_fragmented, compact_table, compact_text, expired_files, file_plan,
     list_sessions, read_session,
 )
 from reviewflow.operators.rollup import rollup_bronze
@@ -154,6 +154,22 @@ def test_text_compaction_keeps_every_line(spark, folder):
     assert list_files(spark, f"{folder}/big", "*.txt").count() <= 3
 
 
+def test_dlq_compaction_moves_batches_once(spark, folder):
+    dlq, target = f"{folder}/dlq", f"{folder}/all"
+    _, rejected = route(parse_reviews(spark.createDataFrame([("x",), ("y",), ("z",)], "value string")))
+
+    def texts():
+        return sorted(r.raw_json for r in read_dlq(spark, dlq, target).collect())
+
+    write_json(rejected, dlq, batch_id=0)
+    write_json(rejected, dlq, batch_id=1)
+    assert compact_dlq(spark, dlq, target) == 2 and texts() == sorted("xyz" * 2)
+    assert compact_dlq(spark, dlq, target) == 0
+    write_json(rejected, dlq, batch_id=2)
+    write_json(rejected, dlq, batch_id=0)  # a run died before it deleted this one
+    assert compact_dlq(spark, dlq, target) == 1 and texts() == sorted("xyz" * 3)
+
+
 def _fragmented(spark, path):
     df = spark.range(3000).selectExpr(
         "id", "CASE WHEN id % 3 = 0 THEN 'a b/c' WHEN id % 7 = 0 THEN NULL ELSE concat('k', id % 4) END AS k",
