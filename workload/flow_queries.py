@@ -227,7 +227,8 @@ def expired_files_query(spark, sf_dir):
         F.regexp_extract("path", "overall=([^/]+)", 1).alias("overall"), "bytes", "age_hours")
 
 
-@query("session_archive")
+@query("session_archive", f"""WITH {LOGS_SQL} SELECT CAST("timestamp" AS VARCHAR) AS "timestamp", total_received,
+  valid_records, invalid_records, error_rate_percent, CAST(2 AS INTEGER) AS session_id FROM bronze_metrics""")
 def session_archive(spark, sf_dir):
     """Two sessions of the minute metrics; the second is read back."""
     root = new_path(spark, "sessions")
