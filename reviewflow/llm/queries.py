@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewflow.llm import dedup, mixing, quality, urls
+from reviewflow.llm import dedup, lm, mixing, ngram_join, quality, urls
 from reviewflow.llm.tables import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -31,6 +31,11 @@ def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(read(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+@query("op5_lm_score")
+def op5_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score_texts(read(spark, sf_dir, "documents"))
+
+
 @query("op6_quality_rules", r"""
 WITH words AS (
   SELECT doc_id, source, coalesce(text, '') AS text,
@@ -69,6 +74,11 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(read(spark, sf_dir, "documents")).drop("removed_words")
 
 
+@query("op7_ngram_join")
+def op7_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.similar_groups(read(spark, sf_dir, "documents"))
+
+
 _URL_PARTS = r"""
 parts AS (
   SELECT page_id, translate(coalesce(regexp_extract(rest, '^[^/?#]*', 0), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',

@@ -78,6 +78,13 @@ def bloom_filter(listed: DataFrame, key: str, blocks: int = BLOOM_BLOCKS, bits:
     return listed.groupBy(_block(column, blocks).alias("block")).agg(F.bit_or(_bits(column, bits)).alias("word"))
 
 
+def bloom_passes(df: DataFrame, key: str, bloom: DataFrame, blocks: int = BLOOM_BLOCKS, bits: int = BLOOM_BITS) -> DataFrame:
+    """The rows whose key may be in the filter, which is broadcast: it is bounded by its blocks."""
+    mask = _bits(F.col(key), bits)
+    rows = df.withColumn("_block", _block(F.col(key), blocks)).join(F.broadcast(bloom.withColumnRenamed("block", "_block")), "_block")
+    return rows.where(F.col("word").bitwiseAND(mask) == mask).select(*df.columns)
+
+
 def listed_pages(pages: DataFrame, listed: DataFrame, blocks: int = BLOOM_BLOCKS, bits: int = BLOOM_BITS) -> DataFrame:
     """Add ``canonical`` and ``listed``: whether the canonical address is in ``listed.canonical``.
 
