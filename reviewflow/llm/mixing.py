@@ -94,7 +94,7 @@ def mix(docs: DataFrame, weights=cycled_weights, budget_share: float = BUDGET_SH
 
     def entry(number):
         finish = (F.lit(number) * F.col("source_size") + F.col("upto")) / F.col("target")
-        return F.struct(finish.alias("finish"), F.col("queue"), F.lit(number).alias("pass_no"), F.col("shuffled"), F.col("id"))
+        return F.struct(finish.alias("finish"), F.col("queue"), F.lit(number).cast("long").alias("pass_no"), F.col("shuffled"), F.col("id"))
 
     entries = (
         queued.where("size > 0 AND target > 0")
@@ -102,13 +102,13 @@ def mix(docs: DataFrame, weights=cycled_weights, budget_share: float = BUDGET_SH
         .select("size", "entry.*"))
     order = ["finish", "queue", "pass_no", "shuffled", "id"]
     budget = sources.agg(F.sum("target")).first()[0] or 0.0
-    line = running_total(entries, order, "size", label="finish").where(F.col("total") <= F.lit(budget)).agg(
-        F.max(F.struct(*order)).alias("line"))
-    # One row: the last entry that is taken.
-    cut = queued.join(F.broadcast(line))
-    taken = sum((F.when(entry(number) <= F.col("line"), 1).otherwise(0) for number in range(max_repeats)), F.lit(0))
+    # One row comes to the driver: the last entry that is taken.
+    last = running_total(entries, order, "size", label="finish").where(F.col("total") <= F.lit(budget)).agg(
+        F.max(F.struct(*order)).alias("last")).first().last
+    line = last and F.struct(*[F.lit(value).cast(entries.schema[name].dataType).alias(name) for name, value in last.asDict().items()])
+    taken = sum((F.when(entry(number) <= line, 1).otherwise(0) for number in range(max_repeats)), F.lit(0)) if last else F.lit(0)
     repeats = F.when((F.col("size") > 0) & (F.col("target") > 0), taken).otherwise(0)
-    return cut.select("doc_id", "size", "source_size", "target", (F.col("size") * repeats).alias("taken"), repeats.alias("repeats"))
+    return queued.select("doc_id", "size", "source_size", "target", (F.col("size") * repeats).alias("taken"), repeats.alias("repeats"))
 
 
 def draw(docs: DataFrame, **options) -> DataFrame:

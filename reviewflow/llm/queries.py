@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewflow.llm import dedup, lm, mixing, ngram_join, quality, urls
+from reviewflow.llm import bpe, dedup, lm, mixing, ngram_join, quality, toxicity, urls
 from reviewflow.llm.tables import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -31,6 +32,11 @@ def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(read(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+@query("op3_toxicity")
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 @query("op5_lm_score")
 def op5_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.score_texts(read(spark, sf_dir, "documents"))
@@ -110,6 +116,17 @@ def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge_pages(pages, listed).drop("canonical")
 
 
+def token_digests(docs: DataFrame) -> DataFrame:
+    path = str(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    return bpe.decode(bpe.encode(docs, path), path).select(
+        "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@query("op9_byte_bpe")
+def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_digests(read(spark, sf_dir, "documents"))
+
+
 @query("op10_exact_dedup", r"""
 WITH normal AS (
   SELECT doc_id, coalesce(text, '') AS text, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS norm FROM documents),

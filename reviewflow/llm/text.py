@@ -18,7 +18,7 @@ WHITE_SPACE = b"\x20\x09\x0a\x0b\x0c\x0d"
 WORD = r"[^\x20\x09-\x0D]+"
 
 # Bytes of text handled at a time inside a task; a single longer text is handled alone.
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 4 << 20
 
 _IS_SPACE = np.zeros(256, bool)
 _IS_SPACE[list(WHITE_SPACE)] = True
@@ -97,15 +97,16 @@ def mix(values: np.ndarray) -> np.ndarray:
 
 def word_counts(column: pa.Array) -> np.ndarray:
     """Number of words of each row, without building them."""
-    data, places = layout(column)
-    if not len(data):
-        return np.zeros(len(column), np.int64)
-    inside = ~_IS_SPACE[data]
-    first = inside.copy()
-    first[1:] &= ~inside[:-1]
-    rows = places[:-1][places[:-1] < len(data)]
-    first[rows] |= inside[rows]
-    return np.diff(np.concatenate([[0], np.cumsum(first)])[places])
+    counts = [np.zeros(0, np.int64)]
+    for start, end in chunks(column):
+        data, places = layout(column.slice(start, end - start))
+        inside = ~_IS_SPACE[data]
+        first = inside.copy()
+        first[1:] &= ~inside[:-1]
+        rows = places[:-1][places[:-1] < len(data)]
+        first[rows] |= inside[rows]
+        counts.append(np.diff(np.searchsorted(np.flatnonzero(first), places)))
+    return np.concatenate(counts)
 
 
 def row_sums(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
