@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewflow.llm import bpe, dedup, lm, mixing, ngram_join, quality, toxicity, urls
+from reviewflow.llm import bpe, dedup, lm, mixing, ngram_join, pages, pii, quality, toxicity, urls
 from reviewflow.llm.tables import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -32,6 +32,20 @@ def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(read(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+@query("op2_find_pii")
+def op2_find_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find_pii(read(spark, sf_dir, "documents"))
+    counts = [F.expr(f"cast(size(filter(base, span -> span.kind = {number})) as long)").alias(f"n_{name}")
+              for number, name in enumerate(pii.KINDS)]
+    return found.select(
+        "doc_id", *counts, F.sha2(pii.span_text("base").cast("binary"), 256).alias("base_sha256"), pii.span_text("spans").alias("spans"))
+
+
+@query("op4_html_article")
+def op4_html_article(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pages.extract_articles(read(spark, sf_dir, "pages"))
+
+
 @query("op3_toxicity")
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
@@ -110,10 +124,10 @@ SELECT page_id, host, path, rule,
             WHEN listed.canonical IS NOT NULL THEN 'block' ELSE 'allow' END AS verdict
 FROM ruled LEFT JOIN listed USING (canonical)""")
 def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = read(spark, sf_dir, "pages").select("page_id", "url")
+    addresses = read(spark, sf_dir, "pages").select("page_id", "url")
     labels = "(^|\\.)(" + "|".join(LISTED_LABELS) + ")\\."
-    listed = pages.where(urls.host_of(F.col("url")).rlike(labels)).select(urls.canonical(F.col("url")).alias("canonical"))
-    return urls.judge_pages(pages, listed).drop("canonical")
+    listed = addresses.where(urls.host_of(F.col("url")).rlike(labels)).select(urls.canonical(F.col("url")).alias("canonical"))
+    return urls.judge_pages(addresses, listed).drop("canonical")
 
 
 def token_digests(docs: DataFrame) -> DataFrame:
