@@ -338,3 +338,9 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
         pieces[rank] = token
     schema = ", ".join(f"`{name}` {kind}" for name, kind in encoded.dtypes) + ", decoded binary"
     return encoded.mapInArrow(_decode(encoded.sparkSession.sparkContext.broadcast(pieces)), schema)
+
+
+def token_digests(docs: DataFrame, path: str) -> DataFrame:
+    """doc_id, n_tokens, and SHA-256 of the ids and of the decoded text, of each row of ``docs``."""
+    return decode(encode(docs, path), path).select(
+        "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))

@@ -113,5 +113,5 @@ def mix(docs: DataFrame, weights=cycled_weights, budget_share: float = BUDGET_SH
 
 def draw(docs: DataFrame, **options) -> DataFrame:
     """The documents a mixture takes, each as often as it is taken, all columns."""
-    taken = mix(docs, **options).where("repeats > 0").select("doc_id", F.col("repeats").alias("_copies"))
-    return keep_ids(docs, taken, copies=True)
+    taken = mix(docs, **options).where("repeats > 0").select("doc_id", "repeats")
+    return keep_ids(docs, taken, copies="repeats")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -130,15 +131,9 @@ def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge_pages(addresses, listed).drop("canonical")
 
 
-def token_digests(docs: DataFrame) -> DataFrame:
-    path = str(public_tokenizers.path("byte_bpe_50k.tiktoken"))
-    return bpe.decode(bpe.encode(docs, path), path).select(
-        "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
-
-
 @query("op9_byte_bpe")
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return token_digests(read(spark, sf_dir, "documents"))
+    return bpe.token_digests(read(spark, sf_dir, "documents"), str(public_tokenizers.path(corpus_pipeline.VOCABULARY)))
 
 
 @query("op10_exact_dedup", r"""
@@ -152,3 +147,6 @@ ranked AS (
 SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM ranked""")
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup.exact_groups(read(spark, sf_dir, "documents"))
+
+
+query("pipeline", corpus_pipeline.ORACLE_SQL)(corpus_pipeline.run)

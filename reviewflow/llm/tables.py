@@ -24,19 +24,29 @@ def saved(df: DataFrame, label: str) -> DataFrame:
     return materialize(df, f"llm-{label}")
 
 
-def keep_ids(docs: DataFrame, ids: DataFrame, copies: bool = False) -> DataFrame:
-    """The rows of ``docs`` whose doc_id is in ``ids``, one row for each id.
+def _new_names(df: DataFrame, *names: str) -> list[str]:
+    """The names, with underscores in front until no column of ``df`` has them."""
+    taken = {column.lower() for column in df.columns}
+    depth = 1
+    while any("_" * depth + name in taken for name in names):
+        depth += 1
+    return ["_" * depth + name for name in names]
 
-    With ``copies``, ``ids`` has a column ``_copies`` and each row comes that
-    many times. A null id is an id like any other. Rows that share an id are
-    one document, of which any row serves.
+
+def keep_ids(docs: DataFrame, ids: DataFrame, copies: str | None = None) -> DataFrame:
+    """The rows of ``docs`` whose doc_id is in ``ids``, one row for each id, all columns.
+
+    With ``copies``, a column of ``ids``, each row comes that many times. A null
+    id is an id like any other. Rows that share an id are one document, of
+    which any row serves.
     """
+    by, place, times, copy = _new_names(docs, "id", "place", "times", "copy")
     key = F.coalesce(F.col("doc_id"), F.lit(NO_ID))
-    wanted = ids.select(key.alias("_id"), *(["_copies"] if copies else []))
-    rows = docs.withColumn("_id", key).join(wanted, "_id", "inner" if copies else "left_semi")
-    rows = rows.withColumn("_place", F.row_number().over(Window.partitionBy("_id").orderBy("_id"))).where("_place = 1")
+    wanted = ids.select(key.alias(by), *([F.col(copies).cast("int").alias(times)] if copies else []))
+    rows = docs.withColumn(by, key).join(wanted, by, "inner" if copies else "left_semi")
+    rows = rows.withColumn(place, F.row_number().over(Window.partitionBy(by).orderBy(by))).where(F.col(place) == 1)
     if copies:
-        rows = rows.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int"))))
+        rows = rows.withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(times))))
     return rows.select(*[F.col(f"`{name}`") for name in docs.columns])
 
 
