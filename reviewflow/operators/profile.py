@@ -5,9 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Fields checked as root cause, and who is told.
+# Fixed value: fields checked as root cause.
 CAUSE_FIELDS = ["reviewerID", "asin", "overall"]
-RECIPIENTS = "@Data_Engineering_Team, @Backend_API_Team"
 
 
 def null_profile(df: DataFrame) -> DataFrame:
@@ -27,11 +26,11 @@ def dlq_root_cause(df: DataFrame) -> DataFrame:
           for name in CAUSE_FIELDS if name in df.columns])
 
 
-def dlq_alert(df: DataFrame) -> DataFrame:
-    """One alert row when anything was rejected, else none."""
+def dlq_alert(df: DataFrame, recipients: str) -> DataFrame:
+    """One alert row for ``recipients`` when anything was rejected, else none."""
     causes = dlq_root_cause(df)
     fields = [name.removeprefix("missing_") for name in causes.columns if name.startswith("missing_")]
     text = F.concat_ws("; ", *[
         F.concat(F.lit(f"{name}: "), F.col(f"missing_{name}").cast("string")) for name in fields])
     return causes.where(F.col("total_rejected") > 0).withColumns({
-        "causes": text, "recipients": F.lit(RECIPIENTS)})
+        "causes": text, "recipients": F.lit(recipients)})

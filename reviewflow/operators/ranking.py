@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from reviewflow.functions.clock import clock_label, local_time
@@ -17,32 +17,32 @@ FEED_COLUMNS = ["asin", "overall", "reviewerName", "summary", "reviewText"]
 FEED_ROWS = 30
 
 
-# From this many shuffle partitions on, top-k merges in two rounds.
-WIDE_CLUSTER = 1_000
+# monotonically_increasing_id: task number above bit 33, row in the task below it.
+_PLACE = (1 << 33) - 1
 
 
-def top_rows(df: DataFrame, n: int, order: list[Column | str], shards: int | None = None) -> DataFrame:
-    """The first ``n`` rows by ``order``.
+def _first_of_each_task(df: DataFrame, n: int, order: list[Column | str]) -> DataFrame:
+    """The first ``n`` rows of every task, without a shuffle and for any ``n``."""
+    sorted_rows = df.sortWithinPartitions(*order).withColumn("_place", F.monotonically_increasing_id().bitwiseAND(F.lit(_PLACE)))
+    return sorted_rows.where(F.col("_place") < n).drop("_place")
 
-    Every task keeps its own n rows and one task merges them. On a wide
-    cluster that task would read n rows from each of very many others, so
-    ``shards`` tasks merge first; the default follows the session's shuffle
-    partitions.
+
+def top_rows(df: DataFrame, n: int, order: list[Column | str]) -> DataFrame:
+    """The first ``n`` rows by ``order``, rows equal in it by a hash of the whole row.
+
+    Every task keeps its own n rows; about as many tasks as the square root of
+    the shuffle partitions merge those, and one task the rest. So the last task
+    reads few times n rows on a cluster of any size.
     """
-    if shards is None:
-        partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        shards = math.isqrt(partitions) if partitions >= WIDE_CLUSTER else 0
-    if shards:
-        window = Window.partitionBy("_shard").orderBy(*order)
-        sharded = df.withColumn("_shard", F.pmod(F.spark_partition_id(), F.lit(shards)))
-        ranked = sharded.withColumn("_rank", F.row_number().over(window))
-        df = ranked.where(F.col("_rank") <= n).drop("_rank", "_shard")
-    return df.orderBy(*order).limit(n)
-
-
-def latest_rows(df: DataFrame, n: int, order: list[str], shards: int | None = None) -> DataFrame:
+    shards = max(math.isqrt(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))), 1)
+    total = [*order, F.xxhash64(*[F.col(f"`{name}`") for name, kind in df.dtypes if "map<" not in kind and kind != "variant"])]
+    heads = _first_of_each_task(df, n, total).repartition(shards, F.spark_partition_id())
+    return _first_of_each_task(heads, n, total).orderBy(*total).limit(n)
+
+
+def latest_rows(df: DataFrame, n: int, order: list[str]) -> DataFrame:
     """The last ``n`` rows by ``order``, latest first."""
-    return top_rows(df, n, [F.desc(name) for name in order], shards)
+    return top_rows(df, n, [F.desc(name) for name in order])
 
 
 def latest_row(df: DataFrame, *order: str) -> DataFrame:

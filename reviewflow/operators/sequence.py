@@ -18,9 +18,13 @@ def with_sequence(df: DataFrame, order: list[str], name: str = "seq") -> DataFra
 
     A range-partitioned sort is written once; each row remembers its place in
     its partition, and the only global step adds up one count per partition.
+    Rows equal in ``order`` go by a hash of the whole row and then by where
+    they were read, so a frequent order key is spread over many partitions.
     """
+    whole = F.xxhash64(*[F.col(f"`{name}`") for name, kind in df.dtypes if "map<" not in kind])
+    ranged = df.withColumns({"_whole": whole, "_read": F.monotonically_increasing_id()}).orderBy(*order, "_whole", "_read")
     placed = materialize(
-        df.orderBy(*order).withColumn("_slot", F.monotonically_increasing_id()), "sequence")
+        ranged.drop("_whole", "_read").withColumn("_slot", F.monotonically_increasing_id()), "sequence")
     part = F.shiftright("_slot", _SLOT_BITS)
     place = F.col("_slot").bitwiseAND((1 << _SLOT_BITS) - 1)
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)

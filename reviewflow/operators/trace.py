@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # A record is found by either of its ids.
@@ -27,6 +27,20 @@ def trace_records(ids: DataFrame | None, raw: DataFrame, dlq: DataFrame, keys: l
     in_dlq = _sightings(dlq, keys, payload).select("id", F.col("payload").alias("dlq_payload"))
     found = in_raw.withColumn("in_raw", F.lit(True)).join(
         in_dlq.withColumn("in_dlq", F.lit(True)), "id", "full")
+    return _stages(found, ids)
+
+
+def trace_marked(ids: DataFrame | None, rows: DataFrame, rejected: Column, keys: list[str] | None = None,
+                 payload: str = "raw_json") -> DataFrame:
+    """The same where one frame has all messages and ``rejected`` marks the dead letters: one aggregation, no join."""
+    sightings = rows.select(F.explode(F.array(*(keys or TRACE_KEYS))).alias("id"), F.col(payload).alias("payload"), rejected.alias("rejected"))
+    found = sightings.where("id is not null").groupBy("id").agg(
+        F.min("payload").alias("raw_payload"), F.lit(True).alias("in_raw"),
+        F.min(F.when(F.col("rejected"), F.col("payload"))).alias("dlq_payload"), F.max("rejected").alias("in_dlq"))
+    return _stages(found, ids)
+
+
+def _stages(found: DataFrame, ids: DataFrame | None) -> DataFrame:
     if ids is not None:
         wanted = ids.select(F.col(ids.columns[0]).alias("id")).where("id is not null").distinct()
         found = wanted.join(found, "id", "left")

@@ -29,6 +29,8 @@ def session_settings(cores: int, shuffled_bytes: int = 0) -> dict[str, str]:
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
         "spark.sql.files.maxPartitionBytes": str(SHUFFLE_PARTITION_BYTES),
+        # Small inputs are still cut into a piece for each core.
+        "spark.sql.files.minPartitionNum": str(cores * 2),
         "spark.sql.parquet.filterPushdown": "true",
         "spark.sql.sources.parallelPartitionDiscovery.parallelism": str(cores * 4),
     }

@@ -14,9 +14,16 @@ MAX_FILES_PER_TRIGGER = 100
 
 
 def read_json_stream(spark: SparkSession, path: str, schema: StructType,
-                     max_files: int = MAX_FILES_PER_TRIGGER) -> DataFrame:
-    """Stream of JSON files under ``path`` (globs allowed) with a fixed schema."""
-    return spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files).json(path)
+                     max_files: int | None = MAX_FILES_PER_TRIGGER, max_bytes: str | None = None) -> DataFrame:
+    """Stream of JSON files under ``path`` (globs allowed) with a fixed schema.
+
+    A micro-batch takes at most ``max_files`` files, or with ``max_bytes``
+    (for example ``8g``) files of about that size, whatever their number.
+    """
+    reader = spark.readStream.schema(schema)
+    if max_bytes is not None:
+        return reader.option("maxBytesPerTrigger", max_bytes).json(path)
+    return (reader.option("maxFilesPerTrigger", max_files) if max_files is not None else reader).json(path)
 
 
 def read_table(spark: SparkSession, path: str, fmt: str = "parquet", merge_schema: bool = False) -> DataFrame:

@@ -23,6 +23,22 @@ def delete(spark: SparkSession, path: str) -> bool:
     return fs.delete(folder, True)
 
 
+def publish(spark: SparkSession, staged: str, final: str) -> bool:
+    """Give a complete folder its final name by one rename, unless that name is taken.
+
+    Readers see all of the folder or nothing, and what is published keeps its
+    file names for ever. Returns whether it was published now.
+    """
+    fs, source = _locate(spark, staged)
+    _, target = _locate(spark, final)
+    if fs.exists(target):
+        return False
+    fs.mkdirs(target.getParent())
+    if not fs.rename(source, target):
+        raise OSError(f"cannot rename {staged} to {final}")
+    return True
+
+
 def subfolders(spark: SparkSession, path: str) -> list[str]:
     """Names of the folders directly under ``path``, sorted."""
     fs, folder = _locate(spark, path)
@@ -40,11 +56,13 @@ def versions(spark: SparkSession, root: str) -> list[int]:
     )
 
 
-def write_version(df: DataFrame, root: str, partition_by: list[str] | None = None) -> str:
+def write_version(df: DataFrame, root: str, partition_by: list[str] | None = None, keep: int | None = None) -> str:
     """Write ``df`` as the next version of a table and return its folder.
 
     The version being read is never touched, and readers pick up the new one
     only when its success marker exists, so a failed job changes nothing.
+    ``keep`` is the number of newest versions that stay, at least two, so that
+    a reader of the one before can finish.
     """
     spark = df.sparkSession
     done = versions(spark, root)
@@ -53,6 +71,9 @@ def write_version(df: DataFrame, root: str, partition_by: list[str] | None = Non
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
+    if keep is not None:
+        for version in done[:max(len(done) + 1 - max(keep, 2), 0)]:
+            delete(spark, f"{root}/v={version}")
     return path
 
 

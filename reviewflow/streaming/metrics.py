@@ -22,6 +22,18 @@ def start_metric_upserts(metrics: DataFrame, path: str, checkpoint: str,
     )
 
 
+def finish(query: StreamingQuery) -> None:
+    """Wait for a stream to end and fail if its watermark dropped rows.
+
+    Dropped rows mean that the allowed lateness is shorter than the disorder
+    of the input, so windows are missing from the table.
+    """
+    query.awaitTermination()
+    dropped = sum(state.numRowsDroppedByWatermark for progress in query.recentProgress for state in progress.stateOperators)
+    if dropped:
+        raise RuntimeError(f"{dropped} rows came later than the lateness allows")
+
+
 def read_latest(spark: SparkSession, path: str, key: str = "timestamp") -> DataFrame:
     """One row per key: the one the latest batch wrote."""
     rows = spark.read.parquet(path)

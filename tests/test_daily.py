@@ -19,11 +19,11 @@ def test_two_days_from_messages_to_reports(spark, folder, capsys):
     source, landing, silver, house = (f"{folder}/{n}" for n in ("in", "landing", "silver", "house"))
 
     def day(events, as_of):
-        spark.createDataFrame([(e,) for e in events], "value string").coalesce(1).write.mode("append").text(source)
+        spark.createDataFrame([(e,) for e in events], "value string").repartition(3).write.mode("append").text(source)
         jobs.main(["bronze", "--source", source, "--format", "text", "--landing", landing, "--checkpoint",
                    f"{folder}/c1", "--log", f"{folder}/log", "--speed-layer", f"{folder}/speed", "--once"], spark)
         jobs.main(["silver", "--bronze", f"{landing}/route=bronze", "--silver", silver, "--checkpoint",
-                   f"{folder}/c2", "--log", f"{folder}/progress", "--once"], spark)
+                   f"{folder}/c2", "--log", f"{folder}/progress", "--max-files", "1", "--once"], spark)
         jobs.main(["optimize", "--silver", silver], spark)
         jobs.main(["daily", "--silver", silver, "--warehouse", house, "--as-of", as_of], spark)
 
@@ -55,9 +55,15 @@ def test_two_days_from_messages_to_reports(spark, folder, capsys):
     assert read("dim_users").agg(F.sum("total_reviews_written")).first()[0] == 30
     assert [r.day_of_week for r in read("dim_date").orderBy("date_id").collect()] == ["Friday   ", "Tuesday  "]
 
+    # An order with rows on two days keeps both in a run and in a repeated one.
+    day([_event(29, 6, "Renamed", 12.0), _event(30, 6, "Renamed", 12.0)], "1970-01-07 00:00:00")
+    assert sorted(str(r.date_id) for r in read("fact_sales_incremental").where("order_id = 'o29'").collect()) == [
+        "1970-01-06", "1970-01-07"]
+    assert key(read("fact_sales_incremental")) == key(read("fact_sales_reviews"))
+
     # A repeated run changes nothing.
     before = {n: key(read(n)) for n in ("dim_stores", "dim_products", "fact_sales_reviews", "fact_sales_incremental")}
-    jobs.main(["daily", "--silver", silver, "--warehouse", house, "--as-of", "1970-01-07 00:00:00"], spark)
+    jobs.main(["daily", "--silver", silver, "--warehouse", house, "--as-of", "1970-01-08 00:00:00"], spark)
     assert before == {n: key(read(n)) for n in before}
 
     jobs.main(["metrics", "--bronze-log", f"{folder}/log", "--silver-log", f"{folder}/progress",
@@ -65,10 +71,16 @@ def test_two_days_from_messages_to_reports(spark, folder, capsys):
     jobs.main(["metrics", "--bronze-log", f"{folder}/log", "--silver-log", f"{folder}/progress",
                "--metrics", f"{folder}/metrics"], spark)
     total = spark.read.parquet(f"{folder}/metrics/bronze_metrics/v=2").agg(F.sum("total_received")).first()[0]
-    assert total == 31
+    assert total == 33
     jobs.main(["compact-dlq", "--dlq", f"{landing}/route=dlq", "--target", f"{folder}/dlq"], spark)
     assert read_dlq(spark, f"{folder}/dlq").count() == 1
-    jobs.main(["alert", "--dlq", f"{folder}/dlq"], spark)
+    jobs.main(["alert", "--dlq", f"{folder}/dlq", "--recipients", "team"], spark)
+    jobs.main(["clear-dlq", "--dlq", f"{folder}/dlq"], spark)
+    assert read_dlq(spark, f"{folder}/dlq").count() == 0
+    for _ in range(2):
+        jobs.main(["archive", "--metrics", f"{folder}/metrics", "--sessions", f"{folder}/sessions"], spark)
+    assert spark.read.parquet(f"{folder}/sessions/bronze_metrics/session_id=1").agg(F.sum("total_received")).first()[0] == 33
+    assert spark.read.parquet(f"{folder}/sessions/bronze_metrics/session_id=2").count() == 0
     jobs.main(["audit", "--silver", silver, "--sample", f"{folder}/sample"], spark)
     jobs.main(["expired", "--table", silver, "--live", silver], spark)
     assert "reviewerID: 1; asin: 1; overall: 1" in capsys.readouterr().out

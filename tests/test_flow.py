@@ -7,21 +7,21 @@ from pyspark.sql import functions as F
 from reviewflow import session
 from reviewflow.operators.maintain import (
     archive_session, clear_dlq, compact_dlq, compact_fragmented, compact_table, compact_text, expired_files, file_plan,
-    list_sessions, read_session,
+    list_sessions, live_files, merge_loads, read_session,
 )
 from reviewflow.operators.rollup import rollup_bronze
 from reviewflow.operators.routing import parse_reviews, route
 from reviewflow.schema import BRONZE_LOG_SCHEMA, REVIEW_SCHEMA
-from reviewflow.sources import folders, jdbc
+from reviewflow.sources import folders, jdbc, loads
 from reviewflow.sources.files import (
     demo_products, first_non_empty, list_files, read_dlq, read_json_stream, read_ndjson_union, read_table,
 )
 from reviewflow.sources.messages import read_messages
 from reviewflow.sources.sinks import export_sample, write_json
-from reviewflow.streaming.metrics import read_latest, start_metric_upserts
+from reviewflow.streaming.metrics import finish, read_latest, start_metric_upserts
 from reviewflow.streaming.progress import ProgressLog, read_progress
 from reviewflow.streaming.router import Landing, read_batch_log, read_speed_layer, route_batch, start_router
-from reviewflow.streaming.silver import start_silver
+from reviewflow.streaming.silver import read_silver, start_silver
 
 ONCE = {"availableNow": True}
 
@@ -47,7 +47,7 @@ def test_messages_to_silver_and_restart(spark, folder):
     def run():
         start_router(read_messages(spark, source, "text"), landing, f"{folder}/c1", ONCE).awaitTermination()
         start_silver(spark, landing.bronze, f"{folder}/silver", f"{folder}/c2", ONCE, shards=2).awaitTermination()
-        return read_table(spark, f"{folder}/silver").count(), read_dlq(spark, landing.dlq).count()
+        return read_silver(spark, f"{folder}/silver").count(), read_dlq(spark, landing.dlq).count()
 
     assert run() == (42, 8)
     assert run() == (42, 8)  # nothing new: nothing added
@@ -56,7 +56,7 @@ def test_messages_to_silver_and_restart(spark, folder):
 
     # the stream gives what the batch operators give
     valid, rejected = route(parse_reviews(spark.read.text(source)))
-    silver = read_table(spark, f"{folder}/silver")
+    silver = read_silver(spark, f"{folder}/silver")
     assert sorted(r.orderID for r in silver.collect()) == sorted(r.orderID for r in valid.collect())
     assert {str(r.review_date) for r in silver.select("review_date").distinct().collect()} == {
         "1970-01-01", "1970-01-02", "1970-01-03"}
@@ -84,6 +84,56 @@ def test_repeated_batch_replaces_itself(spark, folder):
     assert read_speed_layer(spark, landing.speed_layer).count() == 2
 
 
+def test_repeated_batch_is_once_in_silver(spark, folder):
+    """A batch redone after its rows were published, and one whose id comes again under a new checkpoint."""
+    landing = Landing(f"{folder}/landing", f"{folder}/log")
+    batch = spark.createDataFrame([(m,) for m in _messages(0, 35)], "value string").repartition(3)
+
+    def silver():
+        start_silver(spark, landing.bronze, f"{folder}/silver", f"{folder}/c", ONCE, max_files=1).awaitTermination()
+        return read_silver(spark, f"{folder}/silver").count()
+
+    route_batch(batch, 0, landing, "a")
+    assert silver() == 30
+    files = list_files(spark, landing.bronze, "*.json").select("path").collect()
+    route_batch(batch, 0, landing, "a")
+    assert sorted(list_files(spark, landing.bronze, "*.json").select("path").collect()) == sorted(files)
+    assert silver() == 30
+    route_batch(batch, 0, landing, "b")
+    assert silver() == 60
+
+
+def test_loads_merge_while_the_stream_goes_on(spark, folder):
+    root = f"{folder}/t"
+
+    def load(run, number):
+        df = spark.range(number * 100, number * 100 + 100).selectExpr("id", "concat('d ', id % 3) AS day")
+        return loads.append_load(df.repartition(4), root, f"{run}-{number}", "day")
+
+    def content():
+        rows = loads.read_loads(spark, root).collect()
+        assert all(r.day == f"d {r.id % 3}" for r in rows)
+        return sorted(r.id for r in rows)
+
+    assert [load("s", n) for n in (0, 1, 1, 2)] == [True, True, False, True]
+    assert content() == list(range(300))
+    assert merge_loads(spark, root, "day") == 2  # the newest batch may still be repeated
+    assert content() == list(range(300)) and len(loads.live_loads(spark, root)) == 2
+    assert load("s", 2) is False
+    assert list_files(spark, f"{root}/load={loads.live_loads(spark, root)[0]}", "*.parquet").count() == 3
+    # A job that died after it published its load, before it deleted what it replaced.
+    load("s", 3)
+    staged = f"{root}/_staged/x"
+    loads.read_loads(spark, root, ["s-2"]).write.partitionBy("day").parquet(staged)
+    spark.createDataFrame([('["s-2"]',)], "value string").coalesce(1).write.text(f"{root}/_replaced/load=merged-x")
+    assert content() == list(range(400))
+    folders.publish(spark, staged, f"{root}/load=merged-x")
+    assert content() == list(range(400))
+    load("s", 4)
+    merge_loads(spark, root, "day")
+    assert content() == list(range(500)) and not folders.exists(spark, f"{root}/load=s-2")
+
+
 def test_empty_batch_leaves_no_log(spark, folder):
     landing = Landing(f"{folder}/landing", f"{folder}/log")
     assert route_batch(spark.createDataFrame([], "value string"), 0, landing)["total_received"] == 0
@@ -107,6 +157,20 @@ def test_stream_windows_equal_batch_windows(spark, folder):
     assert len(folders.subfolders(spark, f"{folder}/out")) > 1
 
 
+def test_rows_that_come_too_late_are_noticed(spark, folder):
+    for day in (3, 5, 1):
+        rows = [(f"2024-01-0{day}T00:{i:02d}:00.0", i, (10, 9, 1, 0.0, 1.0), (True, [])) for i in range(5)]
+        write_json(spark.createDataFrame(rows, BRONZE_LOG_SCHEMA).coalesce(1), f"{folder}/log")
+    def run(lateness):
+        stream = rollup_bronze(read_json_stream(spark, f"{folder}/log", BRONZE_LOG_SCHEMA, max_files=1), lateness=lateness)
+        finish(start_metric_upserts(stream, f"{folder}/{lateness}", f"{folder}/c {lateness}", ONCE))
+        return read_latest(spark, f"{folder}/{lateness}").count()
+
+    assert run("10 days") == 15
+    with pytest.raises(RuntimeError, match="later than"):
+        run("1 hour")
+
+
 def test_progress_log(spark, folder):
     _put(spark, f"{folder}/in", 0, 30)
     listener = ProgressLog(spark, f"{folder}/log", query="watched")
@@ -161,13 +225,28 @@ def test_dlq_compaction_moves_batches_once(spark, folder):
     def texts():
         return sorted(r.raw_json for r in read_dlq(spark, dlq, target).collect())
 
+    def note(run):
+        list_files(spark, dlq, "*.json").select("path").coalesce(1).write.text(f"{target}.sources/run={run}")
+
+    rejected = rejected.coalesce(1)
     write_json(rejected, dlq, batch_id=0)
     write_json(rejected, dlq, batch_id=1)
     assert compact_dlq(spark, dlq, target) == 2 and texts() == sorted("xyz" * 2)
     assert compact_dlq(spark, dlq, target) == 0
-    write_json(rejected, dlq, batch_id=2)
-    write_json(rejected, dlq, batch_id=0)  # a run died before it deleted this one
+    # Batch ids used again hold new rejects: nothing of an earlier run touches them.
+    write_json(rejected, dlq, batch_id=0)
     assert compact_dlq(spark, dlq, target) == 1 and texts() == sorted("xyz" * 3)
+    # A run that died before its folder was complete: its files are taken again.
+    write_json(rejected, dlq, batch_id=1)
+    note(3)
+    assert compact_dlq(spark, dlq, target) == 1 and texts() == sorted("xyz" * 4)
+    # A run that died before it deleted its files: they go, and what came since is taken.
+    write_json(rejected, dlq, batch_id=2)
+    note(4)
+    compact_text(spark, dlq, f"{target}/run=4", pattern="*.json")
+    write_json(rejected, dlq, batch_id=3)
+    assert compact_dlq(spark, dlq, target) == 1 and texts() == sorted("xyz" * 6)
+    assert folders.subfolders(spark, f"{target}.sources") == []
 
 
 def _fragmented(spark, path):
@@ -185,7 +264,7 @@ def _content(df):
 def test_table_compaction_keeps_rows_and_sizes_files(spark, folder):
     df = _fragmented(spark, f"{folder}/t")
     before = list_files(spark, f"{folder}/t", "*.parquet").count()
-    plan = compact_table(spark, f"{folder}/t", f"{folder}/u", "k", target_bytes=10_000)
+    plan = compact_table(spark, f"{folder}/t", f"{folder}/u", "k", target_bytes=5_000)
     assert _content(spark.read.parquet(f"{folder}/u")) == _content(df)
     after = list_files(spark, f"{folder}/u", "*.parquet").count()
     assert after <= plan.agg(F.sum("wanted")).first()[0] < before
@@ -216,6 +295,17 @@ def test_expired_files(spark, folder):
     assert old.count() == files.count() - 1
 
 
+def test_live_files_with_odd_names_do_not_expire(spark, folder):
+    df = spark.createDataFrame([(k, v) for k, v in enumerate(["a b", "c/d:e", "50%", "x+y=z", "ü ß", None])], "n int, k string")
+    df.write.partitionBy("k").parquet(f"{folder}/t")
+    later = F.current_timestamp() + F.expr("INTERVAL 200 HOURS")
+    live = live_files(spark.read.parquet(f"{folder}/t"))
+    assert expired_files(spark, f"{folder}/t", live, later).where("path LIKE '%.parquet'").count() == 0
+    some = live_files(spark.read.parquet(f"{folder}/t").where("n <> 1"))
+    gone = expired_files(spark, f"{folder}/t", some, later).where("path LIKE '%.parquet'").collect()
+    assert len(gone) == 1 and "c%2Fd" in gone[0].path
+
+
 def test_clear_dlq(spark, folder):
     _, rejected = route(parse_reviews(spark.createDataFrame([("x",), ("y",)], "value string")))
     assert clear_dlq(spark, f"{folder}/dlq") == 0
@@ -240,6 +330,9 @@ def test_versions_switch_only_when_complete(spark, folder):
     assert folders.read_current(spark, root).count() == 3
     folders.delete(spark, f"{root}/v=2/_SUCCESS")
     assert folders.read_current(spark, root).count() == 2
+    for n in range(4):
+        folders.write_version(spark.range(n), root, keep=2)
+    assert folders.versions(spark, root) == [4, 5] and folders.read_current(spark, root).count() == 3
 
 
 def test_small_sources(spark, folder):

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reviewflow.operators.maintain import (
-    archive_session, compact_table, compact_text, expired_files, read_session,
+    archive_session, clear_dlq, compact_dlq, compact_table, compact_text, expired_files, live_files, merge_loads, read_session,
 )
 from reviewflow.operators.rollup import rollup_bronze
 from reviewflow.operators.routing import BRONZE, DLQ, parse_reviews, route
@@ -20,10 +20,10 @@ from reviewflow.session import new_path
 from reviewflow.sources.files import list_files, read_dlq, read_json_stream, read_ndjson_union, read_table
 from reviewflow.sources.messages import read_messages
 from reviewflow.sources.sinks import export_sample, gather, write_json
-from reviewflow.streaming.metrics import read_latest, start_metric_upserts
+from reviewflow.streaming.metrics import finish, read_latest, start_metric_upserts
 from reviewflow.streaming.progress import ProgressLog, read_progress
-from reviewflow.streaming.router import Landing, read_batch_log, read_speed_layer, start_router
-from reviewflow.streaming.silver import start_silver
+from reviewflow.streaming.router import Landing, read_batch_log, read_speed_layer, route_batch, start_router
+from reviewflow.streaming.silver import read_silver, start_silver
 from workload.inputs import (
     INVALID_SQL, LOGS_SQL, PARSED_SQL, REVIEWS_SQL, bronze_log, message_folder, messages, reviews, staged_folder,
     table,
@@ -103,11 +103,15 @@ def ndjson_union(spark, sf_dir):
                          F.length("text").cast("bigint").alias("n_text"))
 
 
-@query("sample_rows")
+SAMPLE_ORDER = ["unixReviewTime", "orderID", "storeID", "reviewerID", "asin", "overall", "quantity", "totalAmount"]
+SAMPLE_ORDER_SQL = ", ".join(f'"{name}" NULLS FIRST' for name in SAMPLE_ORDER)
+
+
+@query("sample_rows", f"WITH {REVIEWS_SQL} SELECT {KEYS_SQL} FROM reviews ORDER BY {SAMPLE_ORDER_SQL} LIMIT 5")
 def sample_rows(spark, sf_dir):
     rows = reviews(spark, sf_dir, KEYS)
     path = new_path(spark, "sample")
-    return export_sample(rows.orderBy("unixReviewTime", "orderID", "storeID"), path)
+    return export_sample(rows.orderBy(*SAMPLE_ORDER), path)
 
 
 # --- streams ----------------------------------------------------------------
@@ -170,10 +174,45 @@ def stream_silver(spark, sf_dir):
     out = new_path(spark, "silver-stream")
     bronze = routed_folder(spark, sf_dir, BRONZE)
     start_silver(spark, bronze, f"{out}/silver", f"{out}/checkpoint", ONCE, shards=2).awaitTermination()
-    return read_table(spark, f"{out}/silver").select(*KEYS, "review_date")
+    return read_silver(spark, f"{out}/silver").select(*KEYS, "review_date")
 
 
-@query("stream_progress")
+@query("silver_optimize", f"""WITH {REVIEWS_SQL}, monthly AS (
+  SELECT * REPLACE (CAST(epoch(date_trunc('month', to_timestamp("unixReviewTime") AT TIME ZONE 'UTC')) AS BIGINT)
+    AS "unixReviewTime") FROM reviews)
+SELECT {KEYS_SQL}, CAST(CAST(to_timestamp("unixReviewTime") AT TIME ZONE 'UTC' AS DATE) AS VARCHAR) AS review_date
+FROM monthly WHERE NOT {INVALID_SQL}""")
+def silver_optimize(spark, sf_dir):
+    """Batches routed, one of them twice, taken to silver in several loads, compacted, appended to, compacted again.
+
+    All reviews, dated on the first of their month.
+    """
+    out = new_path(spark, "optimize")
+    month = F.trunc(F.date_from_unix_date(F.floor(F.col("unixReviewTime") / 86_400).cast("int")), "month")
+    rows = reviews(spark, sf_dir, KEYS).withColumn("unixReviewTime", F.unix_date(month).cast("long") * 86_400)
+    rows.select(F.to_json(F.struct("*")).alias("value")).write.text(f"{out}/messages")
+    lines = spark.read.text(f"{out}/messages")
+    landing, half = Landing(f"{out}/landing"), F.pmod(F.xxhash64("value"), F.lit(3))
+
+    def add(number: int) -> None:
+        route_batch(lines.where(half == number), number, landing)
+
+    def to_silver() -> None:
+        start_silver(spark, landing.bronze, f"{out}/silver", f"{out}/checkpoint", ONCE, max_files=2, shards=2).awaitTermination()
+
+    add(0)
+    add(1)
+    to_silver()
+    add(1)
+    to_silver()
+    merge_loads(spark, f"{out}/silver", "review_date")
+    add(2)
+    to_silver()
+    merge_loads(spark, f"{out}/silver", "review_date")
+    return read_silver(spark, f"{out}/silver").select(*KEYS, "review_date")
+
+
+@query("stream_progress", "SELECT CAST(0 AS BIGINT) AS first_batch, CAST(count(*) AS BIGINT) AS total_input_rows FROM lineitem")
 def stream_progress(spark, sf_dir):
     """Progress records of a stream over the message files."""
     out = new_path(spark, "progress")
@@ -187,16 +226,38 @@ def stream_progress(spark, sf_dir):
     listener.wait(len(running.recentProgress))
     spark.streams.removeListener(listener)
     log = read_progress(spark, f"{out}/log")
-    return log.select("batch_id", "performance.total_input_rows")
+    return log.agg(F.min("batch_id").alias("first_batch"), F.sum("performance.total_input_rows").alias("total_input_rows"))
 
 
 @query("stream_minute_error_rate", f"""WITH {LOGS_SQL} SELECT CAST("timestamp" AS VARCHAR) AS "timestamp",
   total_received, valid_records, invalid_records, error_rate_percent FROM bronze_metrics""")
 def stream_minute_error_rate(spark, sf_dir):
     out = new_path(spark, "minutes")
-    folder = staged_folder(spark, sf_dir, "bronze-log", lambda path: write_json(bronze_log(spark, sf_dir), path))
-    metrics = rollup_bronze(read_json_stream(spark, folder, BRONZE_LOG_SCHEMA), lateness="31 days")
-    start_metric_upserts(metrics, f"{out}/data", f"{out}/checkpoint", ONCE).awaitTermination()
+    folder = staged_folder(spark, sf_dir, "bronze-log", lambda path: write_json(bronze_log(spark, sf_dir).coalesce(1), path))
+    metrics = rollup_bronze(read_json_stream(spark, folder, BRONZE_LOG_SCHEMA), lateness="1 hour")
+    finish(start_metric_upserts(metrics, f"{out}/data", f"{out}/checkpoint", ONCE))
+    return read_latest(spark, f"{out}/data")
+
+
+# Stretches of four days, each second one before the one it follows.
+OUT_OF_ORDER = [1, 0, 3, 2, 5, 4, 7, 6]
+
+
+@query("stream_late_files", f"""WITH {LOGS_SQL} SELECT CAST("timestamp" AS VARCHAR) AS "timestamp",
+  total_received, valid_records, invalid_records, error_rate_percent FROM bronze_metrics""")
+def stream_late_files(spark, sf_dir):
+    """A file for each four days, taken one by one and out of order by up to eight days."""
+    out = new_path(spark, "late")
+
+    def write(path: str) -> None:
+        log = bronze_log(spark, sf_dir)
+        stretch = F.floor((F.dayofmonth(F.to_date(F.substring("timestamp", 1, 10))) - 1) / 4)
+        for number in OUT_OF_ORDER:
+            write_json(log.where(stretch == number).coalesce(1), path)
+
+    folder = staged_folder(spark, sf_dir, "late-log", write)
+    metrics = rollup_bronze(read_json_stream(spark, folder, BRONZE_LOG_SCHEMA, max_files=1), lateness="9 days")
+    finish(start_metric_upserts(metrics, f"{out}/data", f"{out}/checkpoint", ONCE))
     return read_latest(spark, f"{out}/data")
 
 
@@ -209,6 +270,32 @@ def dlq_compaction(spark, sf_dir):
     return read_dlq(spark, target).select(*KEYS, F.col("raw_json").isNotNull().alias("has_raw"))
 
 
+@query("dlq_compaction_live", f"""WITH {PARSED_SQL}, rejects AS (SELECT {KEYS_SQL} FROM parsed WHERE {INVALID_SQL})
+SELECT * FROM rejects UNION ALL SELECT * FROM rejects""")
+def dlq_compaction_live(spark, sf_dir):
+    """A batch compacted, its id used again by another run, and a compaction that died before it wrote anything."""
+    out, lines = new_path(spark, "dlq-live"), messages(spark, sf_dir)
+    landing, target = Landing(f"{out}/landing"), f"{out}/compacted"
+    route_batch(lines, 0, landing, "first")
+    compact_dlq(spark, landing.dlq, target)
+    route_batch(lines, 0, landing, "second")
+    list_files(spark, landing.dlq, "*.json").select("path").coalesce(1).write.text(f"{target}.sources/run=2")
+    compact_dlq(spark, landing.dlq, target)
+    compact_dlq(spark, landing.dlq, target)
+    return read_dlq(spark, target, landing.dlq).select(KEYS)
+
+
+@query("dlq_cleared", f"WITH {PARSED_SQL} SELECT {KEYS_SQL} FROM parsed WHERE {INVALID_SQL}")
+def dlq_cleared(spark, sf_dir):
+    """Rejects removed, and the same ones written again."""
+    path = new_path(spark, "dlq-cleared")
+    _, rejected = route(parse_reviews(messages(spark, sf_dir)))
+    write_json(rejected, path)
+    clear_dlq(spark, path)
+    write_json(rejected, path)
+    return read_dlq(spark, path).select(KEYS)
+
+
 @query("table_compaction", f"WITH {REVIEWS_SQL} SELECT {KEYS_SQL} FROM reviews")
 def table_compaction(spark, sf_dir):
     target = new_path(spark, "compacted")
@@ -216,15 +303,20 @@ def table_compaction(spark, sf_dir):
     return read_table(spark, target).select(KEYS)
 
 
-@query("expired_files")
+@query("expired_files", f"""WITH {REVIEWS_SQL}
+SELECT DISTINCT coalesce(CAST(overall AS VARCHAR), '__HIVE_DEFAULT_PARTITION__') AS overall, TRUE AS expired, FALSE AS live FROM reviews""")
 def expired_files_query(spark, sf_dir):
     """Files of the fragmented table once it has been compacted: none is live."""
     source, target = fragmented_folder(spark, sf_dir), new_path(spark, "compacted")
     compact_table(spark, source, target, "overall")
     later = F.current_timestamp() + F.expr("INTERVAL 8 DAYS")
-    old = expired_files(spark, source, list_files(spark, target), later)
-    return old.where(F.col("path").endswith(".parquet")).select(
-        F.regexp_extract("path", "overall=([^/]+)", 1).alias("overall"), "bytes", "age_hours")
+    files = list_files(spark, source, "*.parquet").select("path")
+    gone = expired_files(spark, source, live_files(read_table(spark, target)), later).select("path", F.lit(True).alias("gone"))
+    kept = expired_files(spark, source, live_files(read_table(spark, source)), later).select("path", F.lit(True).alias("kept"))
+    # Against the new table every old file is expired, against the old one none.
+    return files.join(gone, "path", "left").join(kept, "path", "left").groupBy(
+        F.regexp_extract("path", "overall=([^/]+)", 1).alias("overall")).agg(
+        F.every(F.coalesce("gone", F.lit(False))).alias("expired"), F.some(F.coalesce("kept", F.lit(False))).alias("live"))
 
 
 @query("session_archive", f"""WITH {LOGS_SQL} SELECT CAST("timestamp" AS VARCHAR) AS "timestamp", total_received,

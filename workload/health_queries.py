@@ -116,6 +116,14 @@ def latest_metrics_query(spark, sf_dir):
     return latest_metrics(bronze_metrics(spark, sf_dir), 60, "01-2[0-9] 0")
 
 
+@query("latest_metrics_newest_first", f"""{WITH}, latest AS (SELECT * FROM bronze_metrics ORDER BY "timestamp" DESC LIMIT 50)
+SELECT {TIME_SQL}, total_received, row_number() OVER (ORDER BY latest."timestamp" DESC) - 1 AS place FROM latest""")
+def latest_metrics_newest_first(spark, sf_dir):
+    shown = latest_metrics(bronze_metrics(spark, sf_dir), 50, ascending=False)
+    # The rows are in one task, numbered in their order.
+    return shown.select("timestamp", "total_received", F.monotonically_increasing_id().alias("place"))
+
+
 @query("heartbeat", f"""{WITH} SELECT CAST(max("timestamp") AS VARCHAR) AS last_seen,
   date_diff('second', max("timestamp"), TIMESTAMP '2024-02-01 00:00:00') AS silent_seconds,
   CASE WHEN date_diff('second', max("timestamp"), TIMESTAMP '2024-02-01 00:00:00') > 30 THEN 'error' ELSE 'ok' END
@@ -173,3 +181,17 @@ FROM latest""")
 def ledger(spark, sf_dir):
     return health.ledger(silver_metrics(spark, sf_dir)).withColumns(
         {name: F.round(name, 6) for name in ("input", "processed")})
+
+
+@query("ledger_of_rows", f"""{RECONCILE_SQL.rsplit(", books AS", 1)[0]}, both_sides AS (
+  SELECT "timestamp", valid_records AS input, CAST(total_input_rows AS DOUBLE) AS processed
+  FROM bronze_metrics JOIN silver_metrics USING ("timestamp")
+), latest AS (SELECT * FROM both_sides ORDER BY "timestamp" DESC LIMIT 20)
+SELECT strftime("timestamp" + INTERVAL 7 HOUR, '%H:%M:%S') AS time_label, input, processed,
+  CASE WHEN input = 0 AND processed = 0 THEN 'idle' WHEN input <= processed THEN 'matched' ELSE 'congested' END AS state
+FROM latest""")
+def ledger_of_rows(spark, sf_dir):
+    """The same from counted rows instead of rates."""
+    rows = bronze_metrics(spark, sf_dir).select("timestamp", F.col("valid_records").alias("input_rows")).join(
+        silver_metrics(spark, sf_dir).select("timestamp", F.col("total_input_rows").cast("double").alias("processed_rows")), "timestamp")
+    return health.ledger(rows)

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from reviewflow.operators.asof import profile_versions
+from reviewflow.operators.asof import asof_left_join
 from reviewflow.operators.history import empty_history, scd2_snapshot
-from reviewflow.operators.merge import incremental_append, upsert
+from reviewflow.operators.merge import incremental_append, late_rows, replace_days, upsert
 from reviewflow.operators.rollup import rollup_bronze
 from reviewflow.plans import dims, facts, measures
 from reviewflow.plans.staging import stage_reviews, with_review_date
@@ -184,7 +184,7 @@ FROM stg {_asof_sql('product', 'product_id')}""")
 def asof_product(spark, sf_dir):
     fact = facts.fact_measures(staged(spark, sf_dir, ["orderID", "asin", "unixReviewTime"]))
     versions = product_versions(spark, sf_dir)
-    return facts.asof_product(fact, versions, profile_versions(versions, "original_product_id"))
+    return facts.asof_product(fact, versions)
 
 
 @query("asof_store", f"""WITH {STAGED_SQL}, {STORE_SQL}
@@ -193,7 +193,7 @@ FROM stg {_asof_sql('store', 'store_id')}""")
 def asof_store(spark, sf_dir):
     fact = facts.fact_measures(staged(spark, sf_dir, ["orderID", "storeID", "unixReviewTime"]))
     versions = store_versions(spark, sf_dir)
-    return facts.asof_store(fact, versions, profile_versions(versions, "original_store_id"))
+    return facts.asof_store(fact, versions)
 
 
 FACT_FIELDS = ["orderID", "asin", "storeID", "reviewerID", "paymentID", "shippingID", "unixReviewTime", "quantity",
@@ -212,9 +212,26 @@ FACT_TEXT = """* REPLACE (CAST(date_id AS VARCHAR) AS date_id, CAST(total_amount
 def fact_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     products = product_versions(spark, sf_dir)
     stores = store_versions(spark, sf_dir)
-    return facts.fact_sales(
-        staged(spark, sf_dir, FACT_FIELDS), products, stores,
-        profile_versions(products, "original_product_id"), profile_versions(stores, "original_store_id"))
+    return facts.fact_sales(staged(spark, sf_dir, FACT_FIELDS), products, stores)
+
+
+@query("asof_many_versions", f"""WITH {STAGED_SQL},
+days AS (SELECT DISTINCT store_id, date_id FROM stg WHERE store_id IS NOT NULL AND date_id <= DATE '{LOAD_DATES[1]}'),
+versions AS (SELECT store_id, date_id AS valid_from, lead(date_id) OVER (PARTITION BY store_id ORDER BY date_id) AS valid_to FROM days)
+SELECT order_id, stg.store_id AS original_store_id, CAST(date_id AS VARCHAR) AS date_id,
+  versions.store_id || '@' || CAST(valid_from AS VARCHAR) AS version
+FROM stg LEFT JOIN versions ON stg.store_id = versions.store_id AND date_id >= valid_from
+  AND (valid_to IS NULL OR date_id < valid_to)""")
+def asof_many_versions(spark, sf_dir):
+    """Each shipping day of a store begins a version: several hundred versions a key."""
+    fact = facts.fact_measures(staged(spark, sf_dir, ["orderID", "storeID", "unixReviewTime"]))
+    days = fact.where(F.col("original_store_id").isNotNull() & (F.col("date_id") <= F.lit(LOAD_DATES[1]).cast("date")))
+    days = days.select("original_store_id", F.col("date_id").alias("valid_from")).distinct()
+    following = F.lead("valid_from").over(Window.partitionBy("original_store_id").orderBy("valid_from"))
+    versions = days.select(
+        "original_store_id", "valid_from", following.alias("valid_to"),
+        F.concat("original_store_id", F.lit("@"), F.col("valid_from").cast("string")).alias("version"))
+    return asof_left_join(fact, versions, "original_store_id", "date_id", "original_store_id", ["version"])
 
 
 @query("fact_sales_reviews", f"WITH {FACT_SQL} SELECT {FACT_TEXT} FROM fact")
@@ -238,6 +255,27 @@ def fact_sales_incremental(spark, sf_dir):
     return facts.fact_sales_incremental(existing, everything)
 
 
+@query("fact_replace_days", f"""WITH {FACT_SQL},
+existing AS (SELECT * FROM fact WHERE date_id <= DATE '{LOAD_DATES[2]}'),
+keys AS (SELECT DISTINCT order_id FROM fact
+  WHERE date_id >= (SELECT coalesce(date_trunc('month', max(date_id)), DATE '1900-01-01') FROM existing)),
+merged AS (
+  SELECT * FROM existing WHERE order_id NOT IN (SELECT order_id FROM keys)
+  UNION ALL SELECT * FROM fact WHERE order_id IN (SELECT order_id FROM keys)
+)
+SELECT {FACT_TEXT} FROM merged""")
+def fact_replace_days(spark, sf_dir):
+    """The table on disk, here by month, brought up to date in place, and once more, which changes nothing."""
+    fact = fact_table(spark, sf_dir)
+    everything = materialize(fact.withColumn("month_id", F.trunc("date_id", "month")), "fact")
+    path = new_path(spark, "fact-months")
+    existing = everything.where(F.col("date_id") <= F.lit(LOAD_DATES[2]).cast("date"))
+    existing.hint("rebalance", "month_id").write.partitionBy("month_id").parquet(path)
+    for _ in range(2):
+        replace_days(path, everything, "order_id", "month_id", whole_keys=True)
+    return spark.read.parquet(path).select(fact.columns)
+
+
 BI_FIELDS = ["storeID", "totalAmount", "overall"]
 
 
@@ -257,6 +295,17 @@ def fact_with_fallback(spark, sf_dir):
         F.count("*").alias("orders"), F.sum("total_amount").alias("revenue"))
 
 
+@query("fact_before_fallback", f"""WITH {STAGED_SQL}
+SELECT store_id AS original_store_id, count(*) AS orders, CAST(sum(total_amount) AS DOUBLE) AS revenue
+FROM stg WHERE date_id <= DATE '{LOAD_DATES[0]}' GROUP BY store_id""")
+def fact_before_fallback(spark, sf_dir):
+    """The incremental fact after its first load is not empty, so it is read and the full one is not."""
+    gold = facts.fact_measures(staged(spark, sf_dir, ["storeID", "totalAmount", "unixReviewTime"]))
+    platinum = gold.where(F.col("date_id") <= F.lit(LOAD_DATES[0]).cast("date"))
+    return first_non_empty(platinum, gold).groupBy("original_store_id").agg(
+        F.count("*").alias("orders"), F.sum("total_amount").alias("revenue"))
+
+
 @query("executive_kpis", f"""WITH {STAGED_SQL}
 SELECT CAST(sum(total_amount) AS DOUBLE) AS total_revenue, count(*) AS total_orders,
   avg(CAST(rating_score AS DOUBLE)) AS avg_rating FROM stg""")
@@ -296,6 +345,24 @@ def incremental_load(spark, sf_dir):
     return spark.read.parquet(target)
 
 
+@query("incremental_load_late", f"""WITH {REVIEWS_SQL} SELECT "orderID", asin, "storeID", overall, "unixReviewTime"
+FROM reviews""")
+def incremental_load_late(spark, sf_dir):
+    """Some orders of the last sixty days before the load come after it; the load finds them and what is newer."""
+    silver = with_review_date(reviews(spark, sf_dir, SILVER_FIELDS))
+    target, last = new_path(spark, "warehouse"), F.lit(LOAD_DATES[2]).cast("date")
+    late = (F.col("review_date") > F.date_sub(last, 60)) & F.col("orderID").endswith("7")
+    silver.where((F.col("review_date") <= last) & ~late).drop("review_date").write.parquet(target)
+    have = spark.read.parquet(target)
+    loaded = have.agg(F.coalesce(F.max("unixReviewTime"), F.lit(0))).first()[0]
+    missed = materialize(late_rows(silver, have, "unixReviewTime", loaded, 61 * 86_400, SILVER_FIELDS), "late")
+    missed.drop("review_date").write.mode("append").parquet(target)
+    incremental_append(
+        silver, loaded, lambda rows: rows.drop("review_date").write.mode("append").parquet(target),
+        "unixReviewTime", "review_date")
+    return spark.read.parquet(target)
+
+
 @query("metrics_upsert", f"""WITH {LOGS_SQL} SELECT CAST("timestamp" AS VARCHAR) AS "timestamp", total_received,
   valid_records, invalid_records, error_rate_percent FROM bronze_metrics""")
 def metrics_upsert(spark, sf_dir):

@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 
 from reviewflow.schema import REVIEW_SCHEMA
 from reviewflow.session import shared_folder
-from reviewflow.sources.files import list_files
 from reviewflow.sources.folders import exists
 
 FIELDS = REVIEW_SCHEMA.fieldNames()
@@ -75,10 +74,6 @@ _JOINS = {
 
 def _joined(spark: SparkSession, sf_dir: str, needed: set[str]) -> DataFrame:
     rows = table(spark, sf_dir, "lineitem")
-    cores = spark.sparkContext.defaultParallelism
-    if needed and list_files(spark, f"{sf_dir}/lineitem.parquet").limit(cores).count() < cores:
-        # Fewer files than cores, each too small to split: joins would run in as few tasks.
-        rows = rows.repartition(cores)
     for letter, (name, condition) in _JOINS.items():
         if letter in needed:
             rows = rows.join(table(spark, sf_dir, name), F.expr(condition), "left")

@@ -13,7 +13,7 @@ from reviewflow.operators.ranking import FEED_COLUMNS, FEED_ROWS, feed, latest_r
 from reviewflow.operators.routing import batch_quality, mark_route, parse_reviews, route
 from reviewflow.operators.sequence import rolling_mean, with_sequence
 from reviewflow.operators.shape import check_columns, safe_rating_rows, select_existing, table_audit
-from reviewflow.operators.trace import trace_records
+from reviewflow.operators.trace import trace_marked
 from reviewflow.plans import measures
 from reviewflow.plans.staging import stage_reviews, with_review_date
 from workload.inputs import FIELDS, INVALID_SQL, PARSED_SQL, REVIEWS_SQL, messages, reviews, table
@@ -121,18 +121,20 @@ def feed_columns(spark, sf_dir):
     return select_existing(rows, FEED_COLUMNS, rename={"asin": "product"})
 
 
-@query("schema_check")
+@query("schema_check", """SELECT * REPLACE (CAST(ts AS VARCHAR) AS ts), 'overall' AS missing,
+  'event_id,ts,user_id,event_type,value,props' AS present FROM events ORDER BY event_id LIMIT 3""")
 def schema_check(spark, sf_dir):
     """Events lack a rating: the missing and present columns next to a peek."""
-    missing, present, peek = check_columns(table(spark, sf_dir, "events"), ["overall"])
+    missing, present, peek = check_columns(table(spark, sf_dir, "events").orderBy("event_id"), ["overall"])
     return peek.withColumns({"missing": F.lit(",".join(missing)), "present": F.lit(",".join(present))})
 
 
 @query("search_all_columns", """SELECT event_id, event_type, value, props FROM events
-WHERE regexp_matches(event_id || ' ' || user_id || ' ' || event_type || ' ' || value || ' ' || props, '(?i)ERROR 1')""")
+WHERE regexp_matches(event_id || ' ' || ts || ' ' || user_id || ' ' || event_type || ' ' || value || ' ' || props,
+  '(?i)(ERROR 1|-0[12] .* 1[0-9]? click)')""")
 def search_all_columns(spark, sf_dir):
-    rows = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "value", "props")
-    return search_rows(rows, "ERROR 1").drop("user_id")
+    found = search_rows(table(spark, sf_dir, "events"), "(ERROR 1|-0[12] .* 1[0-9]? click)")
+    return found.select("event_id", "event_type", "value", "props")
 
 
 @query("search_string_columns", """SELECT doc_id, lang, source, length(text) AS n_text FROM documents
@@ -180,15 +182,25 @@ found AS (
     min(CASE WHEN rejected THEN payload END) AS dlq_payload
   FROM seen WHERE id IS NOT NULL GROUP BY id
 )
-SELECT id, TRUE AS in_raw, in_dlq, 'received' AS ingestion,
-  CASE WHEN in_dlq THEN 'rejected' ELSE 'clean' END AS bronze,
-  CASE WHEN in_dlq THEN 'blocked' ELSE 'stored' END AS silver,
-  CASE WHEN in_dlq THEN 'not ready' ELSE 'pending' END AS gold,
+, ids AS (
+  SELECT c_name AS id FROM customer UNION SELECT 'nobody ' || c_custkey FROM customer
+  UNION SELECT 'B0' || lpad(CAST(p_partkey AS VARCHAR), 12, '0') FROM part
+)
+SELECT id, in_dlq IS NOT NULL AS in_raw, coalesce(in_dlq, FALSE) AS in_dlq,
+  CASE WHEN in_dlq IS NULL THEN 'missing' ELSE 'received' END AS ingestion,
+  CASE WHEN in_dlq IS NULL THEN 'waiting' WHEN in_dlq THEN 'rejected' ELSE 'clean' END AS bronze,
+  CASE WHEN in_dlq IS NULL THEN 'waiting' WHEN in_dlq THEN 'blocked' ELSE 'stored' END AS silver,
+  CASE WHEN in_dlq IS NULL OR in_dlq THEN 'not ready' ELSE 'pending' END AS gold,
   coalesce(dlq_payload, raw_payload) AS payload
-FROM found""")
+FROM ids LEFT JOIN found USING (id)""")
 def record_trace(spark, sf_dir):
+    """Every customer and product, and as many ids that no message has."""
+    customers, parts = table(spark, sf_dir, "customer"), table(spark, sf_dir, "part")
+    ids = customers.select(F.col("c_name").alias("id")).union(
+        customers.select(F.concat(F.lit("nobody "), F.col("c_custkey").cast("string")))).union(
+        parts.select(F.concat(F.lit("B0"), F.lpad(F.col("p_partkey").cast("string"), 12, "0"))))
     parsed = parse_reviews(messages(spark, sf_dir), fields=[*CHECKED, "orderID"])
-    return trace_records(None, parsed, parsed.where(is_invalid()), payload="orderID")
+    return trace_marked(ids, parsed, is_invalid(), payload="orderID")
 
 
 # --- measures ---------------------------------------------------------------
@@ -262,15 +274,17 @@ def dlq_root_cause_query(spark, sf_dir):
 
 @query("dlq_alert", f"""{DLQ_SQL}
 SELECT *, 'reviewerID: ' || "missing_reviewerID" || '; asin: ' || missing_asin || '; overall: ' || missing_overall
-    AS causes, '@Data_Engineering_Team, @Backend_API_Team' AS recipients
+    AS causes, 'on-call' AS recipients
 FROM causes WHERE total_rejected > 0""")
 def dlq_alert_query(spark, sf_dir):
-    return dlq_alert(route(parse_reviews(messages(spark, sf_dir), fields=CHECKED))[1])
+    return dlq_alert(route(parse_reviews(messages(spark, sf_dir), fields=CHECKED))[1], "on-call")
 
 
-@query("table_audit", "SELECT count(*) AS row_count, 11 AS column_count FROM lineitem")
+@query("table_audit", """SELECT count(*) AS row_count, 11 AS column_count,
+  'l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, l_extendedprice double, '
+  'l_discount double, l_tax double, l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz' AS schema_ddl FROM lineitem""")
 def table_audit_query(spark, sf_dir):
-    return table_audit(table(spark, sf_dir, "lineitem")).drop("schema_ddl")
+    return table_audit(table(spark, sf_dir, "lineitem"))
 
 
 # --- order ------------------------------------------------------------------
@@ -324,6 +338,21 @@ def latest_rows_query(spark, sf_dir):
     return latest_rows(reviews(spark, sf_dir, LATEST), 1000, LATEST)
 
 
+@query("latest_rows_10000", f"WITH {REVIEWS_SQL} SELECT {LATEST_SQL} FROM reviews ORDER BY {LATEST_ORDER_SQL} LIMIT 10000")
+def latest_rows_10000(spark, sf_dir):
+    return latest_rows(reviews(spark, sf_dir, LATEST), 10_000, LATEST)
+
+
+@query("row_number_of_ties", """SELECT l_returnflag, max(seq) - min(seq) + 1 = count(*) AS together, count(DISTINCT seq) AS n,
+  min(seq) AS first_seq FROM (SELECT l_returnflag, row_number() OVER (ORDER BY l_returnflag) AS seq FROM lineitem) GROUP BY 1""")
+def row_number_of_ties(spark, sf_dir):
+    """Three order keys for the whole table; each has its stretch of numbers."""
+    numbered = with_sequence(table(spark, sf_dir, "lineitem"), ["l_returnflag"])
+    return numbered.groupBy("l_returnflag").agg(
+        (F.max("seq") - F.min("seq") + 1 == F.count("*")).alias("together"), F.countDistinct("seq").alias("n"),
+        F.min("seq").alias("first_seq"))
+
+
 @query("latest_row", "SELECT event_id, event_type, value FROM events ORDER BY ts DESC, event_id DESC LIMIT 1")
 def latest_row_query(spark, sf_dir):
     rows = table(spark, sf_dir, "events").select("event_id", "event_type", "value", "ts")
