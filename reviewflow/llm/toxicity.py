@@ -1,10 +1,11 @@
 """Toxicity: a linear classifier on character n-grams scaled by naive Bayes log-count ratios.
 
 A text is looked at in overlapping windows, and its worst window decides, so a
-few words in a long text count as much as in a short one. The log-count ratios
-come from all labelled training texts. The weights are fitted in numpy on one
-window of each text of a bounded sample: the window that scores highest under
-the ratios, then, in a second round, under the weights fitted so far.
+few words in a long text count as much as in a short one. The classifier is
+fitted on a bounded sample of the labelled training texts: the log-count ratios
+by counting in Spark, the weights in numpy on one window of each text, the
+window that scores highest under the ratios, then, in a second round, under the
+weights fitted so far.
 """
 
 from __future__ import annotations
@@ -27,7 +28,7 @@ BITS = 18
 WINDOW = 128
 # Texts with an n-gram, below which it has no weight.
 LEAST_TEXTS = 5
-# The weights are fitted on about this many labelled texts, chosen by a hash of the id.
+# The classifier is fitted on about this many labelled texts, chosen by a hash of the id.
 SAMPLE_TEXTS = 20_000
 ROUNDS = 2
 EPOCHS = 8
@@ -133,7 +134,14 @@ def fit(features: list[np.ndarray], labels: np.ndarray, ratios: np.ndarray) -> t
     return weights * ratios, float(bias)
 
 
-def train(examples: DataFrame, sample_texts: int = SAMPLE_TEXTS) -> tuple[np.ndarray, float]:
+def sample_labels(labels: DataFrame, texts: int = SAMPLE_TEXTS) -> DataFrame:
+    """About ``texts`` of the labels (doc_id, toxic), or all if there are no more."""
+    million = 1_000_000
+    share = min(million, million * texts // max(labels.count(), 1))
+    return labels.where(F.pmod(F.xxhash64(F.lit(SEED), "doc_id"), F.lit(million)) < share)
+
+
+def train(examples: DataFrame) -> tuple[np.ndarray, float]:
     """Weights of all features and the bias, from rows (doc_id, text, toxic 0 or 1); zeros if a label is missing."""
     clean, toxic = examples.agg(F.count_if(F.col("toxic") == 0), F.count_if(F.col("toxic") == 1)).first()
     if not clean or not toxic:
@@ -145,13 +153,10 @@ def train(examples: DataFrame, sample_texts: int = SAMPLE_TEXTS) -> tuple[np.nda
     in_clean[place], in_toxic[place] = counts.column("clean").to_numpy(), counts.column("toxic").to_numpy()
     ratios = np.log((in_toxic + 1) / (toxic + 2)) - np.log((in_clean + 1) / (clean + 2))
     ratios[in_clean + in_toxic < LEAST_TEXTS] = 0
-    million = 1_000_000
-    share = min(million, million * sample_texts // (clean + toxic))
-    sample = examples.where(F.pmod(F.xxhash64(F.lit(SEED), "doc_id"), F.lit(million)) < share)
     weights, bias = ratios, 0.0
     for _ in range(ROUNDS):
         # At most a window's features for each text of the bounded sample.
-        picked = sample.mapInArrow(_pick(weights.astype(np.float32)), "doc_id long, toxic int, features array<int>").toArrow()
+        picked = examples.mapInArrow(_pick(weights.astype(np.float32)), "doc_id long, toxic int, features array<int>").toArrow()
         order = np.argsort(picked.column("doc_id").to_numpy(zero_copy_only=False), kind="stable")
         labels = picked.column("toxic").to_numpy()[order]
         if labels.min(initial=1) == labels.max(initial=0):
@@ -185,7 +190,8 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, folds: int = FOLDS, held_
     docs = docs.select("doc_id", "text")
     known = labels.where("toxic IN (0, 1) AND doc_id IS NOT NULL").where(~in_fold(F.col("doc_id"), folds, held_out))
     known = known.groupBy("doc_id").agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
-    examples = saved(docs.join(known, "doc_id"), "labelled")
+    # The sample's labels are bounded by its size, 16 bytes each, so no text is shuffled to meet its label.
+    examples = saved(docs.join(F.broadcast(sample_labels(known)), "doc_id"), "labelled")
     weights, bias = train(examples)
     scored = docs.withColumn("held_out", in_fold(F.col("doc_id"), folds, held_out)).mapInArrow(
         _score(weights.astype(np.float32), bias), "doc_id long, held_out boolean, score double")
