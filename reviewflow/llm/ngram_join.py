@@ -7,13 +7,15 @@ differs in few tokens, so it suffices to index a prefix of each document:
 * tokens of the first class (rare and middling ones) are indexed singly;
 * very frequent tokens are dealt into groups, and inside a group each
   combination of two is indexed. The prefix is extended until losing every
-  token in which a partner may differ still leaves one key of one class.
-
-Keys that two documents share give candidates. They are verified on the whole
-token sets, in two rounds: first each document of a key against the key's
-smallest, then, after the links found have been joined to components, those of
-different components. So a group of n near copies costs about n checks, and no
-link that could join two components is left out.
+  token in which a partner may differ still leaves some keys, and a few more
+  the longer the document.
+
+Documents that share as many keys as similar ones must are candidates, so one
+common line or passage does not make them. They are verified on the whole token
+sets, first each document of a key against one of the key, then, after the
+links found have been joined to components, all that are in different ones. So
+a group of n near copies costs about n checks, and no link that could join two
+components is left out.
 """
 
 from __future__ import annotations
@@ -38,9 +40,13 @@ PERCENT = 80
 # the order of the tokens, never what is found.
 SAMPLE_ONE_IN = 16
 FREQUENT_IN_SAMPLE = 3
-COMBINED_IN_SAMPLE = 32
+COMBINED_IN_SAMPLE = 160
 # Frequencies are kept for so many tokens at most, 4 MB: this is broadcast.
 FREQUENT_TOKENS = 1 << 18
+# Prefixes are extended so that similar documents share a key more for each so many tokens of the smaller.
+TOKENS_PER_KEY = 20
+# Buckets of the bitmaps that sieve candidates before whole sets are compared.
+BITMAP = 1024
 # Documents seen in a task, so that copies give their keys once.
 SEEN = 1 << 18
 
@@ -125,7 +131,7 @@ def _groups(size: int) -> list[int]:
 def prefix_keys(tokens: np.ndarray, frequent: np.ndarray, counts: np.ndarray, percent: int = PERCENT) -> np.ndarray:
     """The index keys of one document; ``frequent`` is sorted."""
     size = len(tokens)
-    need = size - (percent * size + 99) // 100 + 1
+    need = size - (percent * size + 99) // 100 + 1 + size // TOKENS_PER_KEY
 
     def rate(part: np.ndarray) -> np.ndarray:
         if not len(frequent):
@@ -197,13 +203,43 @@ def _index(n: int, percent: int, frequent: np.ndarray, counts: np.ndarray):
 
 def _token_sets(n: int):
     def token_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
         for batch in batches:
-            rows = [(_node(tokens)[0], tokens.tobytes()) for _, _, tokens in _rows(iter([batch]), n)]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.binary())], ["node", "tokens"])
+            found = {node: tokens for _, _, tokens in _rows(iter([batch]), n) if (node := _node(tokens)[0]) not in seen}
+            seen = (seen if len(seen) < SEEN else set()) | found.keys()
+            yield pa.RecordBatch.from_arrays([
+                pa.array(found.keys(), pa.int64()), pa.array([tokens.tobytes() for tokens in found.values()], pa.binary()),
+                pa.array([_bitmap(tokens) for tokens in found.values()], pa.binary()),
+                pa.array([len(tokens) for tokens in found.values()], pa.int32())], ["node", "tokens", "bits", "size"])
     return token_sets
 
 
+def _bitmap(tokens: np.ndarray) -> bytes:
+    """Which buckets have a token."""
+    used = np.zeros(BITMAP, bool)
+    used[(mix(tokens) % np.uint64(BITMAP)).astype(np.int64)] = True
+    return np.packbits(used).tobytes()
+
+
+_ONES = np.array([bin(value).count("1") for value in range(256)], np.uint8)
+
+
+def _sieve(percent: int):
+    """Drop pairs that cannot be similar: a bucket that only one side uses holds a token the other lacks."""
+    def sieve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            left, right = (np.frombuffer(b"".join(batch.column(name).to_pylist()), np.uint8).reshape(batch.num_rows, -1)
+                           for name in ("left_bits", "right_bits"))
+            sizes = [batch.column(name).to_numpy().astype(np.int64) for name in ("left_size", "right_size")]
+            lacking = [_ONES[mine & ~other].sum(1, dtype=np.int64) for mine, other in ((left, right), (right, left))]
+            common = np.minimum(sizes[0] - lacking[0], sizes[1] - lacking[1])
+            good = 100 * common >= percent * (sizes[0] + sizes[1] - common)
+            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(good))
+    return sieve
+
+
 def _verify(percent: int):
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -217,7 +253,11 @@ def _verify(percent: int):
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int, label: str) -> DataFrame:
-    """The pairs (a, b) whose token sets are similar enough."""
+    """The pairs (a, b) whose token sets are similar enough; bitmaps first, whole sets for what they let through."""
+    left = sets.select(F.col("node").alias("a"), F.col("bits").alias("left_bits"), F.col("size").alias("left_size"))
+    right = sets.select(F.col("node").alias("b"), F.col("bits").alias("right_bits"), F.col("size").alias("right_size"))
+    both = pairs.join(left, "a").join(right, "b").select("a", "b", "left_bits", "right_bits", "left_size", "right_size")
+    pairs = saved(both.mapInArrow(_sieve(percent), "a long, b long"), f"{label}-sieved")
     left = sets.select(F.col("node").alias("a"), F.col("tokens").alias("left_tokens"))
     right = sets.select(F.col("node").alias("b"), F.col("tokens").alias("right_tokens"))
     both = pairs.join(left, "a").join(right, "b").select("a", "b", "left_tokens", "right_tokens")
@@ -228,11 +268,12 @@ def _token_table(docs: DataFrame, nodes: DataFrame, classes: DataFrame, n: int,
     """Token sets of the given nodes, each from the document with the smallest id.
 
     A Bloom filter of fixed size picks the rows; a row it lets through by
-    mistake is a set that no pair asks for.
+    mistake is a set that no pair asks for. Repeated rows may give a set more
+    than once, which repeats a pair's check but not its result.
     """
     wanted = classes.join(nodes, "node").select("id")
     rows = bloom_passes(docs, "id", bloom_filter(wanted, "id"))
-    return saved(rows.mapInArrow(_token_sets(n), "node long, tokens binary").dropDuplicates(["node"]), label)
+    return saved(rows.mapInArrow(_token_sets(n), "node long, tokens binary, bits binary, size int"), label)
 
 
 def similar_groups(docs: DataFrame, n: int = NGRAM, percent: int = PERCENT) -> DataFrame:
@@ -265,33 +306,56 @@ def similar_groups(docs: DataFrame, n: int = NGRAM, percent: int = PERCENT) -> D
         _index(n, percent, tokens[order], frequent.column("n").to_numpy()[order]), "key long, node long, size int")
 
     key = Window.partitionBy("key")
-    live = saved(
-        index.withColumn("hub", F.min(F.struct("node", "size")).over(key)).withColumn("last", F.max("node").over(key))
-        .where("hub.node < last").select("key", "node", "size", F.col("hub.node").alias("hub"), F.col("hub.size").alias("hub_size")),
-        "live")
-
-    def fits(left: str, right: str):
-        return 100 * F.least(left, right) >= percent * F.greatest(left, right)
-
-    stars = saved(live.where("node <> hub").where(fits("size", "hub_size")).select(
-        F.col("hub").alias("a"), F.col("node").alias("b")).distinct(), "stars")
-    star_nodes = stars.select(F.col("a").alias("node")).union(stars.select(F.col("b").alias("node"))).distinct()
-    links = verified(stars, _token_table(docs, star_nodes, classes, n, "star-sets"), percent, "links")
-
-    named = components(links, "first")
-    placed = live.select("key", "node", "size").distinct().join(named, "node", "left").withColumn(
-        "component", F.coalesce("component", "node"))
-    mixed = saved(placed.withColumn("low", F.min("component").over(key)).withColumn("high", F.max("component").over(key))
-                  .where("low < high").drop("low", "high"), "mixed")
+    met = saved(
+        index.withColumn("low", F.min("node").over(key)).withColumn("high", F.max("node").over(key))
+        .withColumn("rows", F.count("*").over(key)).where("low < high").drop("low", "high"), "met")
+    # A document that shares fewer keys with all others than it must share with one is out.
+    least_partner = F.ceil(F.first("size") * percent / 100)
+    strong = met.groupBy("node").agg(
+        F.countDistinct("key").alias("keys"), F.sum("rows").alias("degree"), (1 + F.floor(least_partner / TOKENS_PER_KEY)).alias("least"))
+    live = saved(met.join(strong.where("keys >= least").select("node", "degree"), "node").select(
+        "key", "node", "size", "degree").distinct(), "live")
+
+    def candidates(rows: DataFrame, left: str, right: str) -> DataFrame:
+        """Pairs (a, b) that share enough keys; rows are (a, b, key, sizes)."""
+        fits = 100 * F.least(left, right) >= percent * F.greatest(left, right)
+        least = 1 + F.floor(F.min(F.least(left, right)) / TOKENS_PER_KEY)
+        return rows.where(fits).groupBy("a", "b").agg(F.count("*").alias("shared"), least.alias("least")).where(
+            "shared >= least").select("a", "b")
+
+    def check(pairs: DataFrame, label: str) -> DataFrame:
+        nodes = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
+        return verified(pairs, _token_table(docs, nodes, classes, n, f"{label}-sets"), percent, f"{label}-links")
+
+    def in_several(rows: DataFrame) -> DataFrame:
+        """The rows whose key has documents of more than one component."""
+        return rows.withColumn("low", F.min("component").over(key)).withColumn("high", F.max("component").over(key)).where(
+            "low < high").drop("low", "high")
+
+    # Rounds against one document of each key: first the one with the most company, which is near the middle of its
+    # group, then one by chance. Pairs inside a component need no check.
+    mixed, links, checked = live.withColumn("component", F.col("node")), None, None
+    for label, rank in (("middle", F.col("degree")), ("chance", F.xxhash64("node"))):
+        hubs = mixed.groupBy("key").agg(F.max(F.struct(rank.alias("rank"), "node", "size", "component")).alias("hub"))
+        beside = mixed.join(hubs, "key").where("component <> hub.component").select(
+            F.least("node", "hub.node").alias("a"), F.greatest("node", "hub.node").alias("b"), "key", "size", F.col("hub.size").alias("hub_size"))
+        pairs = candidates(beside, "size", "hub_size")
+        pairs = saved(pairs if checked is None else pairs.join(checked, ["a", "b"], "left_anti"), f"{label}-pairs")
+        found = check(pairs, label)
+        links, checked = (found, pairs) if links is None else (links.union(found), checked.union(pairs))
+        named = components(links, label)
+        placed = mixed.drop("component").join(named, "node", "left").withColumn("component", F.coalesce("component", "node"))
+        mixed = saved(in_several(placed), f"{label}-mixed")
+
+    # All pairs of different components that are left.
     heads = mixed.select("key", "component").distinct()
     meet = heads.withColumnRenamed("component", "left").join(heads.withColumnRenamed("component", "right"), "key").where("left < right")
     one = mixed.select("key", F.col("component").alias("left"), F.col("node").alias("a"), F.col("size").alias("a_size"))
     two = mixed.select("key", F.col("component").alias("right"), F.col("node").alias("b"), F.col("size").alias("b_size"))
-    rest = meet.join(one, ["key", "left"]).join(two, ["key", "right"]).where(fits("a_size", "b_size"))
-    rest = rest.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    rest = saved(rest.join(stars, ["a", "b"], "left_anti"), "rest")
-    rest_nodes = rest.select(F.col("a").alias("node")).union(rest.select(F.col("b").alias("node"))).distinct()
-    more = verified(rest, _token_table(docs, rest_nodes, classes, n, "rest-sets"), percent, "more-links")
+    rest = meet.join(one, ["key", "left"]).join(two, ["key", "right"])
+    rest = candidates(rest.select(
+        F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "key", "a_size", "b_size"), "a_size", "b_size")
+    more = check(saved(rest.join(checked, ["a", "b"], "left_anti"), "rest-pairs"), "rest")
 
     final = components(links.union(more), "all")
     smallest = classes.join(final, "node").groupBy("component").agg(F.min("id").alias("component_id"))
