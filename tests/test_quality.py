@@ -154,7 +154,7 @@ def test_null_profile_and_root_cause(spark):
         "total_rejected": 2, "missing_reviewerID": 2, "missing_asin": 1, "missing_overall": 1}
     assert dlq_root_cause(df.drop("asin")).columns == ["total_rejected", "missing_reviewerID", "missing_overall"]
     assert dlq_alert(df, "team").first().causes == "reviewerID: 2; asin: 1; overall: 1"
-    assert dlq_alert(df.limit(0)).count() == 0
+    assert dlq_alert(df.limit(0), "team").count() == 0
 
 
 def test_shape_helpers(spark):
