@@ -412,6 +412,33 @@ def test_copies_of_a_page_keep_their_article(spark):
     assert pages.extract_articles(frame).select("text").distinct().collect() == [("Same\non every page",)]
 
 
+def test_wrapper_survives_pages_that_lack_it(spark):
+    page = "<body><div><p>Head {k}</p><h4>Ask the desk</h4></div><h5>Printed in Bern</h5></body>"
+    rows = [(k, "http://h.com/a", page.format(k=k)) for k in range(57)]
+    rows += [(100, "http://h.com/a", None), (101, "http://h.com/a", ""), (102, "http://h.com/a", "<body><ul><li>odd</ul></body>")]
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string")
+    for parts in (1, 7):
+        found = {r["page_id"]: r["text"] for r in pages.extract_articles(frame.repartition(parts, F.col("page_id"))).collect()}
+        assert found == {**{k: f"Head {k}" for k in range(57)}, 100: "", 101: "", 102: "odd"}
+
+
+def test_template_counts_what_comes_late():
+    """Constant on 92 of 100 pages, after eight with other texts and nodes; what is rare does not pile up."""
+    sources = [f"<body><h5>other {k // 2}</h5><p>x</body>" for k in range(8)]
+    sources += [f"<body><p>{k}</p><h5>same</h5><h{k % 6 + 1}>odd {k}</h{k % 6 + 1}></body>" for k in range(92)]
+    merged = None
+    for source in sources:
+        template = pages._template(pages.parse(source))
+        merged = template if merged is None else pages.merge_templates(merged, template)
+    constant = pages._constants(merged, pages.CONSTANT_SHARE * len(sources))
+
+    def texts(node):
+        return [*node[1], *(text for child in node[2] for text in texts(child))]
+
+    assert texts(constant) == [pages._hash("same")]
+    assert len(texts(merged)) < 60
+
+
 def test_empty_tables(spark, empty):
     labels = spark.createDataFrame([], "doc_id long, toxic int")
     web = spark.createDataFrame([], "page_id long, url string, html string")
