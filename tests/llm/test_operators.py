@@ -412,6 +412,17 @@ def test_copies_of_a_page_keep_their_article(spark):
     assert pages.extract_articles(frame).select("text").distinct().collect() == [("Same\non every page",)]
 
 
+@pytest.mark.parametrize("source, want", [
+    ('<p>Foo <span class="ad">Buy</span> bar</p>', "Foo bar"),
+    ('<p>Foo <span hidden>a <span>b</span> c</span> <a href="/x">bar</a></p><p>Next', "Foo bar\nNext"),
+    ('<div><p>Foo <span class="ad">Buy</p><p>bar</p></div>', "Foo\nbar"),
+    ('<div>Foo <a class="advert" href="/x"><div>Buy<br><img src="y"></div> now</a> bar</div>', "Foo bar"),
+    ('<ul><li>Foo <b class="share">Tweet<li>bar <i style="display:none">x', "Foo\nbar"),
+])
+def test_inline_elements_declared_no_article_are_cut_out(source, want):
+    assert pages.main_text(source, None) == want
+
+
 def test_wrapper_survives_pages_that_lack_it(spark):
     page = "<body><div><p>Head {k}</p><h4>Ask the desk</h4></div><h5>Printed in Bern</h5></body>"
     rows = [(k, "http://h.com/a", page.format(k=k)) for k in range(57)]
