@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reviewflow.llm.tables import NO_ID, keep_ids, running_total, saved
+from reviewflow.llm.tables import NO_ID, keep_rows, numbered, running_total, saved
 from reviewflow.llm.text import text_column, word_counts
 from reviewflow.operators.sequence import with_sequence
 
@@ -24,8 +24,8 @@ SEED = 20240613
 def _sizes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), batch.column("source"), pa.array(word_counts(text_column(batch)))],
-            ["doc_id", "source", "size"])
+            [batch.column("row"), batch.column("doc_id"), batch.column("source"), pa.array(word_counts(text_column(batch)))],
+            ["row", "doc_id", "source", "size"])
 
 
 def cycled_weights(sources: DataFrame, cycle: tuple[int, ...] = WEIGHT_CYCLE) -> DataFrame:
@@ -65,7 +65,7 @@ def share_targets(sources: DataFrame, budget_share: float = BUDGET_SHARE, max_re
 
 
 def mix(docs: DataFrame, weights=cycled_weights, budget_share: float = BUDGET_SHARE, max_repeats: int = MAX_REPEATS,
-        seed: int = SEED) -> DataFrame:
+        seed: int = SEED, row: str | None = None) -> DataFrame:
     """What a mixture takes of each document.
 
     Takes doc_id, text and source; ``weights`` adds ``weight`` to the distinct
@@ -77,10 +77,13 @@ def mix(docs: DataFrame, weights=cycled_weights, budget_share: float = BUDGET_SH
 
     Returns one row per row: doc_id, size, source_size, target, taken (words,
     repeats counted), repeats. Null or empty texts have size 0 and are not
-    taken; a null source is a source; a null id counts as the smallest.
+    taken; a null source is a source; a null id counts as the smallest. ``row``
+    names a column of unique row numbers, which decides between rows with one id
+    and is passed on as ``row``.
     """
-    sizes = saved(docs.select("doc_id", "text", "source").mapInArrow(
-        _sizes, "doc_id long, source string, size long"), "sizes")
+    number = F.col(row) if row else F.lit(0).cast("long")
+    sizes = saved(docs.select("doc_id", "text", "source", number.alias("row")).mapInArrow(
+        _sizes, "row long, doc_id long, source string, size long"), "sizes")
     totals = saved(sizes.groupBy("source").agg(F.sum("size").alias("source_size")), "sources")
     sources = saved(share_targets(weights(totals), budget_share, max_repeats), "targets")
     numbered = with_sequence(sources.withColumn("_null", F.col("source").isNull()), ["_null", "source"], "queue").drop("_null")
@@ -89,7 +92,7 @@ def mix(docs: DataFrame, weights=cycled_weights, budget_share: float = BUDGET_SH
         .join(numbered, F.col("_source").eqNullSafe(F.col("source"))).drop("_source", "source", "weight")
         .withColumn("id", F.coalesce("doc_id", F.lit(NO_ID)))
         .withColumn("shuffled", F.xxhash64(F.lit(seed), F.col("id"), F.col("queue"))))
-    queued = saved(running_total(rows, ["queue", "shuffled", "id"], "size", by="queue", label="queues")
+    queued = saved(running_total(rows, ["queue", "shuffled", "id", "row"], "size", by="queue", label="queues")
                    .withColumnRenamed("total", "upto"), "queued")
 
     def entry(number):
@@ -108,10 +111,18 @@ def mix(docs: DataFrame, weights=cycled_weights, budget_share: float = BUDGET_SH
     line = last and F.struct(*[F.lit(value).cast(entries.schema[name].dataType).alias(name) for name, value in last.asDict().items()])
     taken = sum((F.when(entry(number) <= line, 1).otherwise(0) for number in range(max_repeats)), F.lit(0)) if last else F.lit(0)
     repeats = F.when((F.col("size") > 0) & (F.col("target") > 0), taken).otherwise(0)
-    return queued.select("doc_id", "size", "source_size", "target", (F.col("size") * repeats).alias("taken"), repeats.alias("repeats"))
+    return queued.select(
+        "doc_id", "size", "source_size", "target", (F.col("size") * repeats).alias("taken"), repeats.alias("repeats"), *(["row"] if row else []))
 
 
 def draw(docs: DataFrame, **options) -> DataFrame:
-    """The documents a mixture takes, each as often as it is taken, all columns."""
-    taken = mix(docs, **options).where("repeats > 0").select("doc_id", "repeats")
-    return keep_ids(docs, taken, copies="repeats")
+    """The documents a mixture takes, each as often as it is taken, all columns.
+
+    Rows with the same id, source and text are one document; other rows that
+    share an id are not.
+    """
+    docs, row = numbered(docs)
+    taken = mix(docs, row=row, **options).where("repeats > 0").select("row", "repeats")
+    same = docs.select(F.col(row).alias("row"), "doc_id", "source", F.sha2(F.col("text").cast("binary"), 256).alias("digest"))
+    once = same.join(taken, "row").groupBy("doc_id", "source", "digest").agg(F.min("row").alias("row"), F.max("repeats").alias("repeats"))
+    return keep_rows(docs, row, once, copies="repeats")

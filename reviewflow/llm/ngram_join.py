@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from reviewflow.llm.graph import components
-from reviewflow.llm.tables import NO_ID, keep_ids, saved
+from reviewflow.llm.tables import NO_ID, keep_rows, numbered, saved
 from reviewflow.llm.text import chunks, mix, split_words, text_column, word_codes, word_hashes
 from reviewflow.llm.urls import bloom_filter, bloom_passes
 
@@ -112,9 +112,9 @@ def _measure(n: int):
                 sizes.append(len(tokens))
                 samples.append(tokens if sampled else none)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("id"), pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64()),
+                [batch.column("row"), batch.column("doc_id"), batch.column("id"), pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64()),
                  pa.array(checks, pa.int64()), _lists(samples)],
-                ["doc_id", "id", "n_shingles", "node", "second", "sample"])
+                ["row", "doc_id", "id", "n_shingles", "node", "second", "sample"])
     return measure
 
 
@@ -265,18 +265,18 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int, label: str) -> Dat
 
 
 def _token_table(docs: DataFrame, nodes: DataFrame, classes: DataFrame, n: int, label: str) -> DataFrame:
-    """Token sets of the given nodes, each from the document with the smallest id.
+    """Token sets of the given nodes, each from the row with the smallest id.
 
     A Bloom filter of fixed size picks the rows; a row it lets through by
     mistake is a set that no pair asks for. Repeated rows may give a set more
     than once, which repeats a pair's check but not its result.
     """
-    wanted = classes.join(nodes, "node").select("id")
-    rows = bloom_passes(docs, "id", bloom_filter(wanted, "id"))
+    wanted = classes.join(nodes, "node").select("row")
+    rows = bloom_passes(docs, "row", bloom_filter(wanted, "row"))
     return saved(rows.mapInArrow(_token_sets(n), "node long, tokens binary, bits binary, size int"), label)
 
 
-def similar_groups(docs: DataFrame, n: int = NGRAM, percent: int = PERCENT) -> DataFrame:
+def similar_groups(docs: DataFrame, n: int = NGRAM, percent: int = PERCENT, row: str | None = None) -> DataFrame:
     """Components of documents linked by ``100 * |A & B| >= percent * |A | B|``.
 
     Takes doc_id and text. Words are cut at ASCII white space, A-Z in lower
@@ -284,14 +284,18 @@ def similar_groups(docs: DataFrame, n: int = NGRAM, percent: int = PERCENT) -> D
     smallest doc_id that links lead to, itself included). Documents with the
     same set are linked; those without words (null texts too) are linked with
     nothing and keep their own id. A null id counts as the smallest. No rows
-    give no rows.
+    give no rows. ``row`` names a column of unique row numbers, which is passed
+    on as ``row``, with ``kept``: one row of each component, of those with its
+    smallest id the first.
     """
-    docs = docs.select("doc_id", F.coalesce("doc_id", F.lit(NO_ID)).alias("id"), "text")
+    key_id = F.coalesce("doc_id", F.lit(NO_ID))
+    docs = docs.select("doc_id", key_id.alias("id"), "text", (F.col(row) if row else key_id).alias("row"))
     sets = saved(docs.mapInArrow(
-        _measure(n), "doc_id long, id long, n_shingles long, node long, second long, sample array<long>"), "sets")
+        _measure(n), "row long, doc_id long, id long, n_shingles long, node long, second long, sample array<long>"), "sets")
     classes = saved(
         sets.where("n_shingles > 0").groupBy("node").agg(
-            F.min("id").alias("id"), F.count("*").alias("copies"), F.min("second").alias("low"), F.max("second").alias("high")),
+            F.min(F.struct("id", "row")).alias("first"), F.count("*").alias("copies"), F.min("second").alias("low"),
+            F.max("second").alias("high")).select("node", "first.*", "copies", "low", "high"),
         "classes")
     if not classes.where("low <> high").isEmpty():
         raise RuntimeError("two token sets share a 63-bit key; use another n or hash")
@@ -358,15 +362,18 @@ def similar_groups(docs: DataFrame, n: int = NGRAM, percent: int = PERCENT) -> D
     more = check(saved(rest.join(checked, ["a", "b"], "left_anti"), "rest-pairs"), "rest")
 
     final = components(links.union(more), "all")
-    smallest = classes.join(final, "node").groupBy("component").agg(F.min("id").alias("component_id"))
-    linked = final.join(smallest, "component").select("node", "component_id")
-    copied = classes.where("copies > 1").join(linked, "node", "left_anti").select("node", F.col("id").alias("component_id"))
-    rows = sets.select("doc_id", "id", "n_shingles", "node").join(linked.union(copied), "node", "left")
+    smallest = classes.join(final, "node").groupBy("component").agg(F.min(F.struct("id", "row")).alias("first"))
+    linked = final.join(smallest, "component").select("node", F.col("first.id").alias("component_id"), F.col("first.row").alias("first_row"))
+    copied = classes.where("copies > 1").join(linked, "node", "left_anti").select(
+        "node", F.col("id").alias("component_id"), F.col("row").alias("first_row"))
+    rows = sets.select("row", "doc_id", "id", "n_shingles", "node").join(linked.union(copied), "node", "left")
     component = F.when(F.col("n_shingles") > 0, F.coalesce("component_id", "id")).otherwise(F.col("id"))
-    return rows.select("doc_id", "n_shingles", F.when(component != NO_ID, component).alias("component_id"))
+    kept = (F.col("n_shingles") == 0) | (F.coalesce("first_row", "row") == F.col("row"))
+    return rows.select(
+        "doc_id", "n_shingles", F.when(component != NO_ID, component).alias("component_id"), *(["row", kept.alias("kept")] if row else []))
 
 
 def keep_one_of_each(docs: DataFrame, **options) -> DataFrame:
     """``docs`` with the document of the smallest id of each component, all columns."""
-    groups = similar_groups(docs, **options)
-    return keep_ids(docs, groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))))
+    docs, row = numbered(docs)
+    return keep_rows(docs, row, similar_groups(docs, row=row, **options).where("kept"))

@@ -8,11 +8,10 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reviewflow.llm.tables import keep_ids, saved
+from reviewflow.llm.tables import keep_rows, numbered, saved
 from reviewflow.llm.text import (chunks, layout, row_numbers, row_sums, split_words, text_column,
                                  word_codes, word_hashes)
 
@@ -52,7 +51,7 @@ def repeated_words(codes: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return row_sums(inside, bounds)
 
 
-def _measure_chunk(first_row: int, ids: pa.Array, hosts: pa.Array, column: pa.Array) -> pa.RecordBatch:
+def _measure_chunk(rows: pa.Array, ids: pa.Array, hosts: pa.Array, column: pa.Array) -> pa.RecordBatch:
     n = len(column)
     data, places = layout(column)
     words, bounds = split_words(column)
@@ -94,7 +93,7 @@ def _measure_chunk(first_row: int, ids: pa.Array, hosts: pa.Array, column: pa.Ar
     digest = xxhash.xxh3_64_intdigest
     content = np.fromiter((digest(buffer[a:b]) for a, b in zip(places[:-1].tolist(), places[1:].tolist())), np.uint64, n)
     return pa.RecordBatch.from_arrays([
-        pa.array(np.arange(first_row, first_row + n)), ids, hosts, pa.array(np.diff(bounds)), pa.array(row_sums(points, bounds)),
+        rows, ids, hosts, pa.array(np.diff(bounds)), pa.array(row_sums(points, bounds)),
         pa.array(symbols[places[1:]] - symbols[places[:-1]]), pa.array(duplicates),
         pa.array(repeated_words(codes, bounds)), pa.array(content.view(np.int64)),
         pa.ListArray.from_arrays(pa.array(list_bounds), entries)],
@@ -102,17 +101,15 @@ def _measure_chunk(first_row: int, ids: pa.Array, hosts: pa.Array, column: pa.Ar
 
 
 def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    row = TaskContext.get().partitionId() << 40
     for batch in batches:
         column = text_column(batch)
         for start, end in chunks(column):
             part = batch.slice(start, end - start)
-            yield _measure_chunk(row, part.column("doc_id"), part.column("host"), column.slice(start, end - start))
-            row += end - start
+            yield _measure_chunk(part.column("row"), part.column("doc_id"), part.column("host"), column.slice(start, end - start))
 
 
 def judge(docs: DataFrame, host: str = "source", line_docs: int = LINE_DOCS, line_share: float = LINE_SHARE,
-          max_removed: float = MAX_REMOVED, min_words: int = MIN_WORDS) -> DataFrame:
+          max_removed: float = MAX_REMOVED, min_words: int = MIN_WORDS, row: str | None = None) -> DataFrame:
     """Measures and verdict of each document.
 
     Takes doc_id, text and the column ``host``. Lines (blanks made one, in
@@ -125,9 +122,12 @@ def judge(docs: DataFrame, host: str = "source", line_docs: int = LINE_DOCS, lin
     Returns one row per row: doc_id, n_words, word_chars, n_symbols,
     n_dup_lines, n_repeat_words, removed_words, base_failed, kept. A null text
     is empty and fails; a null host is a host of its own; repeated rows are
-    judged alike.
+    judged alike. ``row`` names a column of unique row numbers, which is passed
+    on as ``row``.
     """
-    measured = saved(docs.select("doc_id", "text", F.col(host).alias("host")).mapInArrow(_measure, _MEASURED), "measured")
+    number = F.col(row) if row else F.monotonically_increasing_id()
+    texts = docs.select("doc_id", "text", F.col(host).alias("host"), number.alias("row"))
+    measured = saved(texts.mapInArrow(_measure, _MEASURED), "measured")
     keyed = measured.withColumn("host", F.concat(F.when(F.col("host").isNull(), "-").otherwise("+"), F.coalesce("host", F.lit(""))))
     seen = keyed.select("host", "content", F.explode("lines.line").alias("line")).distinct()
     hosts = keyed.groupBy("host").agg(F.count("*").alias("host_docs"))
@@ -144,9 +144,10 @@ def judge(docs: DataFrame, host: str = "source", line_docs: int = LINE_DOCS, lin
     depleted = (gone > max_removed * F.col("n_words")) | ((gone > 0) & (F.col("n_words") - gone < min_words))
     return rows.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", gone.alias("removed_words"),
-        failed.alias("base_failed"), (~failed & ~depleted).alias("kept"))
+        failed.alias("base_failed"), (~failed & ~depleted).alias("kept"), *(["row"] if row else []))
 
 
 def keep_good(docs: DataFrame, **options) -> DataFrame:
     """The documents that pass, all columns."""
-    return keep_ids(docs, judge(docs, **options).where("kept"))
+    docs, row = numbered(docs)
+    return keep_rows(docs, row, judge(docs, row=row, **options).where("kept"))

@@ -50,6 +50,27 @@ def keep_ids(docs: DataFrame, ids: DataFrame, copies: str | None = None) -> Data
     return rows.select(*[F.col(f"`{name}`") for name in docs.columns])
 
 
+def numbered(docs: DataFrame) -> tuple[DataFrame, str]:
+    """``docs`` with a unique number of each row, and that column's name; written once, so a row keeps its number."""
+    name, = _new_names(docs, "row")
+    return saved(docs.withColumn(name, F.monotonically_increasing_id()), "numbered"), name
+
+
+def keep_rows(docs: DataFrame, name: str, rows: DataFrame, copies: str | None = None) -> DataFrame:
+    """The rows of ``docs``, numbered by its column ``name``, whose number is in ``rows.row``; without that column.
+
+    Ids play no part, so rows that share one (or have none) are kept or
+    dropped each for itself. With ``copies``, a column of ``rows``, each row
+    comes that many times.
+    """
+    times, copy = _new_names(docs, "times", "copy")
+    wanted = rows.select(F.col("row").alias(name), *([F.col(copies).cast("int").alias(times)] if copies else []))
+    kept = docs.join(wanted, name, "inner" if copies else "left_semi")
+    if copies:
+        kept = kept.withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(times))))
+    return kept.select(*[F.col(f"`{column}`") for column in docs.columns if column != name])
+
+
 def running_total(df: DataFrame, order: list[str], value: str, by: str | None = None, label: str = "running") -> DataFrame:
     """Add ``total``: the sum of ``value`` over the rows up to this one by ``order``, inside ``by`` if given.
 

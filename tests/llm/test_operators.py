@@ -461,6 +461,31 @@ def test_empty_tables(spark, empty):
         assert frame.count() == 0
 
 
+def test_stages_keep_rows_by_their_own_text(spark):
+    """Null and shared ids: nothing good is lost to, or replaced by, another row with the id."""
+    good = [" ".join(random.Random(k).sample([f"w{j}" for j in range(4_000)], 80)) for k in range(8)]
+    first = [(None, "too short", "a"), (None, good[0], "a"), (None, good[1], "b"), (None, good[1].replace(" ", "\n"), "b"),
+             (7, "too short too", "a"), (7, good[2], "a"), (7, good[3], "b"), (8, good[3], "b"), (9, good[4], None),
+             (None, good[5], "a"), (10, good[5] + " end", "a"), (7, good[6], "a"), (7, good[6] + " end", "a"), (None, good[7], None)]
+    frame = spark.createDataFrame(first, "doc_id long, text string, source string").withColumn("_row", F.lit("x")).repartition(4)
+
+    def rows(frame):
+        return sorted(((r["doc_id"] or 0), " ".join(r["text"].split())) for r in frame.collect())
+
+    kept = quality.keep_good(frame)
+    assert kept.columns == frame.columns
+    assert rows(kept) == sorted((k or 0, " ".join(text.split())) for k, text, _ in first if "short" not in text)
+    single = dedup.drop_exact_copies(kept)
+    assert rows(single) == sorted([(0, good[0]), (0, good[1]), (7, good[2]), (7, good[3]), (9, good[4]), (0, good[5]),
+                                   (10, good[5] + " end"), (7, good[6]), (7, good[6] + " end"), (0, good[7])])
+    apart = rows(ngram_join.keep_one_of_each(single))
+    assert sorted((k, text.removesuffix(" end")) for k, text in apart) == sorted(
+        [(0, good[0]), (0, good[1]), (7, good[2]), (7, good[3]), (9, good[4]), (0, good[5]), (7, good[6]), (0, good[7])])
+    # A budget of two of everything takes all.
+    drawn = rows(mixing.draw(single, budget_share=2.0))
+    assert drawn == sorted(2 * rows(single))
+
+
 def test_keep_ids_keeps_clashing_columns(docs):
     kept = keep_ids(docs, docs.where("doc_id < 10 OR doc_id IS NULL").select("doc_id"))
     assert kept.columns == docs.columns
