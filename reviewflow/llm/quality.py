@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reviewflow.llm.tables import keep_rows, numbered, saved
+from reviewflow.llm.tables import numbered, saved
 from reviewflow.llm.text import (chunks, layout, row_numbers, row_sums, split_words, text_column,
                                  word_codes, word_hashes)
 
@@ -51,6 +51,12 @@ def repeated_words(codes: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return row_sums(inside, bounds)
 
 
+def _normal_lines(lines: list[bytes]) -> pa.Array:
+    """The lines with blanks made one, in lower case."""
+    normal = pa.array([b" ".join(line.split()) for line in lines], pa.large_binary())
+    return pc.utf8_lower(normal.cast(pa.large_string())).cast(pa.large_binary())
+
+
 def _measure_chunk(rows: pa.Array, ids: pa.Array, hosts: pa.Array, column: pa.Array) -> pa.RecordBatch:
     n = len(column)
     data, places = layout(column)
@@ -79,9 +85,7 @@ def _measure_chunk(rows: pa.Array, ids: pa.Array, hosts: pa.Array, column: pa.Ar
     duplicated = np.ones(len(used), np.int64)
     duplicated[first] = 0
     duplicates = np.bincount(line_rows[used], duplicated, n).astype(np.int64)
-    normal = pa.array([b" ".join(lines[k].split()) for k in used.tolist()], pa.large_binary())
-    lowered = pc.utf8_lower(normal.cast(pa.large_string()))
-    normal_codes, distinct = word_codes(lowered.cast(pa.large_binary()))
+    normal_codes, distinct = word_codes(_normal_lines([lines[k] for k in used.tolist()]))
     hashes = word_hashes(distinct).view(np.int64)
     pairs = _keys(line_rows[used], normal_codes) if len(used) else used
     _, head, where = np.unique(pairs, return_index=True, return_inverse=True) if len(used) else (used, used, used)
@@ -123,7 +127,7 @@ def judge(docs: DataFrame, host: str = "source", line_docs: int = LINE_DOCS, lin
     n_dup_lines, n_repeat_words, removed_words, base_failed, kept. A null text
     is empty and fails; a null host is a host of its own; repeated rows are
     judged alike. ``row`` names a column of unique row numbers, which is passed
-    on as ``row``.
+    on as ``row``, with ``gone_lines``: hashes of the removed lines, null for none.
     """
     number = F.col(row) if row else F.monotonically_increasing_id()
     texts = docs.select("doc_id", "text", F.col(host).alias("host"), number.alias("row"))
@@ -137,17 +141,43 @@ def judge(docs: DataFrame, host: str = "source", line_docs: int = LINE_DOCS, lin
     removed = (
         keyed.select("row", "host", F.explode("lines").alias("at"))
         .select("row", "host", "at.*").join(common, ["host", "line"])
-        .groupBy("row").agg(F.sum("words").alias("removed_words")))
+        .groupBy("row").agg(F.sum("words").alias("removed_words"), *([F.collect_set("line").alias("gone_lines")] if row else [])))
     rows = measured.join(removed, "row", "left")
     gone = F.coalesce("removed_words", F.lit(0))
     failed = (F.col("n_words") < min_words) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     depleted = (gone > max_removed * F.col("n_words")) | ((gone > 0) & (F.col("n_words") - gone < min_words))
     return rows.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", gone.alias("removed_words"),
-        failed.alias("base_failed"), (~failed & ~depleted).alias("kept"), *(["row"] if row else []))
+        failed.alias("base_failed"), (~failed & ~depleted).alias("kept"), *(["row", "gone_lines"] if row else []))
+
+
+def _remove_lines(gone: str):
+    def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            names = batch.schema.names
+            columns = dict(zip(names, batch.columns))
+            lists = columns.pop(gone)
+            changed = np.flatnonzero(lists.is_valid().to_numpy(zero_copy_only=False)).tolist()
+            if changed:
+                texts = columns["text"].to_pylist()
+                counts = columns["n_chars"].to_pylist() if "n_chars" in columns else None
+                for k in changed:
+                    lines = texts[k].encode().split(b"\n")
+                    hashes = word_hashes(_normal_lines(lines)).view(np.int64)
+                    stays = ~np.isin(hashes, lists[k].values.to_numpy()) | np.array([not line.split() for line in lines])
+                    texts[k] = b"\n".join(line for line, good in zip(lines, stays.tolist()) if good).decode()
+                    if counts:
+                        counts[k] = len(texts[k])
+                columns["text"] = pa.array(texts, columns["text"].type)
+                if counts:
+                    columns["n_chars"] = pa.array(counts, columns["n_chars"].type)
+            yield pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
+    return remove
 
 
 def keep_good(docs: DataFrame, **options) -> DataFrame:
-    """The documents that pass, all columns."""
+    """The documents that pass without the lines to remove, all columns; a column n_chars is brought up to date."""
     docs, row = numbered(docs)
-    return keep_rows(docs, row, judge(docs, row=row, **options).where("kept"))
+    gone = f"{row}_gone_lines"
+    kept = judge(docs, row=row, **options).where("kept").select(F.col("row").alias(row), F.col("gone_lines").alias(gone))
+    return docs.join(kept, row).drop(row).mapInArrow(_remove_lines(gone), docs.drop(row).schema)

@@ -461,6 +461,18 @@ def test_empty_tables(spark, empty):
         assert frame.count() == 0
 
 
+def test_kept_documents_lose_their_common_lines(spark):
+    words = [f"w{k}" for k in range(400)]
+    own = [" ".join(random.Random(k).sample(words, 80)) for k in range(120)]
+    rows = [(k if k % 2 else None, f"{text}\n\n The SAME\tline É \nend {k}", "h", 0) for k, text in enumerate(own)]
+    rows += [(500, f"{own[0]}\nthe same line é", "other", 7), (501, "the same line é\n" * 60, "h", 7)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, source string, n_chars long").withColumn("row", F.lit(1))
+    kept = quality.keep_good(frame.repartition(3))
+    assert kept.columns == frame.columns and kept.dtypes == frame.dtypes
+    want = [(f"{text}\n\nend {k}", len(f"{text}\n\nend {k}")) for k, text in enumerate(own)] + [(rows[120][1], 7)]
+    assert sorted((r["text"], r["n_chars"]) for r in kept.collect()) == sorted(want)
+
+
 def test_stages_keep_rows_by_their_own_text(spark):
     """Null and shared ids: nothing good is lost to, or replaced by, another row with the id."""
     good = [" ".join(random.Random(k).sample([f"w{j}" for j in range(4_000)], 80)) for k in range(8)]
