@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewflow.llm import bpe, dedup, lm, mixing, ngram_join, pages, pii, quality, toxicity, urls
+from reviewflow.llm import bpe, dedup, lm, mixing, ngram_join, pages, periodic, pii, quality, toxicity, urls
 from reviewflow.llm.tables import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -149,4 +149,21 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup.exact_groups(read(spark, sf_dir, "documents"))
 
 
+def periodic_digests(docs: DataFrame) -> DataFrame:
+    """The digest columns of the runs of texts with planted periods."""
+    found = periodic.find_runs(periodic.plant_periods(docs.select("doc_id", "text")))
+    best = found.withColumn("best", periodic.greatest_run("runs"))
+    listed = "array_join(transform(runs, r -> concat(r.start, ',', r.length, ',', r.period, '\\n')), '')"
+    return best.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(F.expr(listed).cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"))
+
+
+@query("op12_periodic_runs")
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_digests(read(spark, sf_dir, "documents"))
+
+
 query("pipeline", corpus_pipeline.ORACLE_SQL)(corpus_pipeline.run)
