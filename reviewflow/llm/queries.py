@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewflow.llm import bpe, dedup, lm, mixing, ngram_join, pages, periodic, pii, quality, toxicity, urls
+from reviewflow.llm import bpe, dedup, lm, mixing, ngram_join, pages, periodic, pii, quality, topk_search, toxicity, urls
 from reviewflow.llm.tables import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -166,4 +166,17 @@ def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic_digests(read(spark, sf_dir, "documents"))
 
 
+@query("op13_topk_search", """
+WITH whole AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id AS vec_id, CAST(list_dot_product(q.v, c.v) AS BIGINT) AS score
+  FROM whole q, whole c WHERE q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS place FROM scored)
+SELECT query_id, CAST(place AS INTEGER) AS rank, vec_id, score FROM ranked WHERE place <= 5""")
+def op13_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk_search.top_products(topk_search.quantized(read(spark, sf_dir, "embeddings")), F.col("vec_id") % 50 == 0, 5)
+
+
 query("pipeline", corpus_pipeline.ORACLE_SQL)(corpus_pipeline.run)
