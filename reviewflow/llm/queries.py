@@ -9,7 +9,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewflow.llm import bpe, dedup, lm, mixing, ngram_join, pages, periodic, pii, quality, topk_search, toxicity, urls
+from reviewflow.llm import (bpe, collocation, dedup, lm, mixing, ngram_join, pages, periodic, pii, quality, topk_search,
+                            toxicity, urls)
 from reviewflow.llm.tables import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -149,6 +150,41 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup.exact_groups(read(spark, sf_dir, "documents"))
 
 
+@query("op11_collocations", r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''),
+         'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents),
+words AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+f1 AS (SELECT lang, p, count(*) AS f FROM (SELECT lang, unnest(w) AS p FROM words) GROUP BY ALL),
+f2 AS (SELECT lang, w[i] AS w1, w[i + 1] AS w2, count(*) AS f
+       FROM (SELECT lang, w, unnest(range(1, len(w))) AS i FROM words WHERE len(w) > 1) GROUP BY ALL),
+f3 AS (SELECT lang, w[i] AS w1, w[i + 1] AS w2, w[i + 2] AS w3, count(*) AS f
+       FROM (SELECT lang, w, unnest(range(1, len(w) - 1)) AS i FROM words WHERE len(w) > 2) GROUP BY ALL HAVING count(*) >= 10),
+totals AS (SELECT lang, sum(f) AS n FROM f1 GROUP BY lang),
+three AS (
+  SELECT f3.lang, f3.w1 || ' ' || f3.w2 || ' ' || f3.w3 AS phrase, f3.f AS a, x.f AS l1, y.f AS r1, v.f AS l2, z.f AS r2,
+         1000000 * f3.f::HUGEINT * f3.f // (x.f::HUGEINT * y.f) AS one, 1000000 * f3.f::HUGEINT * f3.f // (v.f::HUGEINT * z.f) AS two
+  FROM f3 JOIN f1 x ON x.lang = f3.lang AND x.p = f3.w1 JOIN f2 y ON y.lang = f3.lang AND y.w1 = f3.w2 AND y.w2 = f3.w3
+  JOIN f2 v ON v.lang = f3.lang AND v.w1 = f3.w1 AND v.w2 = f3.w2 JOIN f1 z ON z.lang = f3.lang AND z.p = f3.w3),
+around AS (
+  SELECT lang, a, b, max(f) AS most FROM (
+    SELECT lang, w1 AS a, w2 AS b, f FROM f3 UNION ALL SELECT lang, w2, w3, f FROM f3) GROUP BY ALL),
+scored AS (
+  SELECT lang, phrase, a, CASE WHEN one <= two THEN l1 ELSE l2 END AS l, CASE WHEN one <= two THEN r1 ELSE r2 END AS r,
+         least(one, two) AS score FROM three
+  UNION ALL
+  SELECT f2.lang, f2.w1 || ' ' || f2.w2, f2.f, x.f, y.f, 1000000 * f2.f::HUGEINT * f2.f // (x.f::HUGEINT * y.f)
+  FROM f2 JOIN f1 x ON x.lang = f2.lang AND x.p = f2.w1 JOIN f1 y ON y.lang = f2.lang AND y.p = f2.w2
+  LEFT JOIN around ON around.lang = f2.lang AND around.a = f2.w1 AND around.b = f2.w2
+  WHERE f2.f >= 10 AND (most IS NULL OR 100 * most < 50 * f2.f)),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM scored)
+SELECT lang, rank, phrase, a, l, r, CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score
+FROM ranked JOIN totals USING (lang) WHERE rank <= 2000""")
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocation.collocations(read(spark, sf_dir, "documents")).drop("passage")
+
+
 def periodic_digests(docs: DataFrame) -> DataFrame:
     """The digest columns of the runs of texts with planted periods."""
     found = periodic.find_runs(periodic.plant_periods(docs.select("doc_id", "text")))
