@@ -12,10 +12,17 @@ differs in few tokens, so it suffices to index a prefix of each document:
 
 Documents that share as many keys as similar ones must are candidates, so one
 common line or passage does not make them. They are verified on the whole token
-sets, first each document of a key against one of the key, then, after the
-links found have been joined to components, all that are in different ones. So
-a group of n near copies costs about n checks, and no link that could join two
-components is left out.
+sets, first each document of a key against one of the key, the hub, then, after the
+links found have been joined to components, those that are in different ones.
+So a group of n near copies costs about n checks, and no link that could join
+two components is left out.
+
+In a key of few components all of them meet. In a crowded key, as a text with
+many edits in its copies makes, they would be far too many: there each document
+a is taken as its difference A from the hub, the tokens that one of both lacks.
+Two documents differ as their differences do, so similar ones that are not both
+similar to the hub share most of A and B, and must share one of the rarest
+tokens of them. Edits made apart from each other hardly share any.
 """
 
 from __future__ import annotations
@@ -47,6 +54,8 @@ FREQUENT_TOKENS = 1 << 18
 TOKENS_PER_KEY = 20
 # Buckets of the bitmaps that sieve candidates before whole sets are compared.
 BITMAP = 1024
+# Keys with more components than this are joined by differences from their hub; the others by all pairs.
+CROWD = 16
 # Documents seen in a task, so that copies give their keys once.
 SEEN = 1 << 18
 
@@ -252,6 +261,51 @@ def _verify(percent: int):
     return verify
 
 
+def _differences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The tokens that either a document or its hub lacks, a row for each."""
+    for batch in batches:
+        parts = [np.setxor1d(np.frombuffer(mine, np.uint64), np.frombuffer(other, np.uint64), assume_unique=True)
+                 for mine, other in zip(batch.column("tokens").to_pylist(), batch.column("hub_tokens").to_pylist())]
+        widths = np.array([len(part) for part in parts], np.int64)
+        which = pa.array(np.repeat(np.arange(len(parts)), widths))
+        tokens = np.concatenate([np.zeros(0, np.uint64), *parts]).view(np.int64)
+        for at in range(0, len(tokens), 1 << 17):
+            rows = which.slice(at, 1 << 17)
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(name).take(rows) for name in ("hub", "node", "component", "size")),
+                 pa.array(np.repeat(widths, widths)[at:at + (1 << 17)]), pa.array(tokens[at:at + (1 << 17)])],
+                ["hub", "node", "component", "size", "width", "token"])
+
+
+def difference_pairs(members: DataFrame, sets: DataFrame, percent: int, label: str) -> DataFrame:
+    """Pairs (a, b) of different components, among the ``members`` (hub, node, component) of a hub, that may be similar.
+
+    All similar pairs of which not both are similar to the hub are among them.
+    |a ^ b| = |A ^ B| must be at most D, so A and B share (|A| + |B| - D) / 2
+    tokens or more, and one of them is so early in both, in any common order.
+    Rare ones lead the order.
+    """
+    node = sets.select("node", "tokens", "size").dropDuplicates(["node"])
+    hub = node.select(F.col("node").alias("hub"), F.col("tokens").alias("hub_tokens"))
+    tokens = saved(members.join(node, "node").join(hub, "hub").select(
+        "hub", "node", "component", "size", "tokens", "hub_tokens").mapInArrow(
+        _differences, "hub long, node long, component long, size int, width long, token long"), f"{label}-differences")
+    counts = tokens.groupBy("hub", "token").agg(F.count("*").alias("n"))
+    order = Window.partitionBy("hub", "node").orderBy("n", "token")
+    # The largest possible D, with a partner as large as can be.
+    most = f"(size + size * 100 div {percent}) * (100 - {percent}) div (100 + {percent})"
+    placed = saved(tokens.join(counts, ["hub", "token"]).withColumn("place", F.row_number().over(order) - 1).where(
+        f"place <= {most} AND n > 1"), f"{label}-early")
+    # The one with the smaller difference needs the shorter part.
+    left = placed.where(f"2 * place <= {most}").selectExpr("hub", "token", "node AS a", "component AS a_component", "size AS a_size", "width AS a_width", "place AS a_place")
+    right = placed.selectExpr("hub", "token", "node AS b", "component AS b_component", "size AS b_size", "width AS b_width", "place AS b_place")
+    allowed = f"a_size + b_size - 2 * (({percent} * (a_size + b_size) + {99 + percent}) div {100 + percent})"
+    shared = f"(a_width + b_width - ({allowed}) + 1) div 2"
+    both = left.join(right, ["hub", "token"]).where("a_component <> b_component AND (a_width < b_width OR (a_width = b_width AND a < b))").where(
+        f"a_place <= a_width - {shared} AND b_place <= b_width - {shared}")
+    return both.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
 def verified(pairs: DataFrame, sets: DataFrame, percent: int, label: str) -> DataFrame:
     """The pairs (a, b) whose token sets are similar enough; bitmaps first, whole sets for what they let through."""
     left = sets.select(F.col("node").alias("a"), F.col("bits").alias("left_bits"), F.col("size").alias("left_size"))
@@ -351,14 +405,24 @@ def similar_groups(docs: DataFrame, n: int = NGRAM, percent: int = PERCENT, row:
         placed = mixed.drop("component").join(named, "node", "left").withColumn("component", F.coalesce("component", "node"))
         mixed = saved(in_several(placed), f"{label}-mixed")
 
-    # All pairs of different components that are left.
-    heads = mixed.select("key", "component").distinct()
+    # What is left of each key: all pairs of different components, in crowded keys by their differences from a hub.
+    crowds = saved(mixed.groupBy("key").agg(
+        F.countDistinct("component").alias("n"), F.max(F.struct("degree", "node")).getField("node").alias("hub")), "crowds")
+    cool = mixed.join(crowds.where(F.col("n") <= CROWD).select("key"), "key")
+    heads = cool.select("key", "component").distinct()
     meet = heads.withColumnRenamed("component", "left").join(heads.withColumnRenamed("component", "right"), "key").where("left < right")
-    one = mixed.select("key", F.col("component").alias("left"), F.col("node").alias("a"), F.col("size").alias("a_size"))
-    two = mixed.select("key", F.col("component").alias("right"), F.col("node").alias("b"), F.col("size").alias("b_size"))
+    one = cool.select("key", F.col("component").alias("left"), F.col("node").alias("a"), F.col("size").alias("a_size"))
+    two = cool.select("key", F.col("component").alias("right"), F.col("node").alias("b"), F.col("size").alias("b_size"))
     rest = meet.join(one, ["key", "left"]).join(two, ["key", "right"])
     rest = candidates(rest.select(
         F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "key", "a_size", "b_size"), "a_size", "b_size")
+    members = saved(mixed.join(crowds.where(F.col("n") > CROWD).select("key", "hub"), "key").where("node <> hub").select(
+        "hub", "node", "component").distinct(), "members")
+    if not members.isEmpty():
+        nodes = members.select("node").union(members.select("hub")).distinct()
+        apart = difference_pairs(members, _token_table(docs, nodes, classes, n, "member-sets"), percent, "members")
+        beside = members.select(F.least("hub", "node").alias("a"), F.greatest("hub", "node").alias("b"))
+        rest = rest.union(apart).union(beside).distinct()
     more = check(saved(rest.join(checked, ["a", "b"], "left_anti"), "rest-pairs"), "rest")
 
     final = components(links.union(more), "all")

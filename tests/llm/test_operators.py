@@ -213,6 +213,66 @@ def test_similar_groups_with_frequent_tokens(spark, monkeypatch):
     assert {r["doc_id"]: r["component_id"] for r in found.collect()} == brute.components(dict(rows))
 
 
+def edited_copies(rng, copies, size, most, offset):
+    """Copies of one text with up to ``most`` words changed, a few of them changed once more into near pairs."""
+    base = [f"w{offset}-{k}" for k in range(size)]
+    rows = []
+    for k in range(copies):
+        text = list(base)
+        for place in rng.sample(range(size), most * k // copies):
+            text[place] = f"e{rng.randrange(10**9)}"
+        rows.append(text)
+    for k in range(copies // 2, copies, 9):
+        twin = list(rows[k])
+        twin[rng.randrange(size)] = f"t{rng.randrange(10**9)}"
+        rows.append(twin)
+    return [(offset + k, " ".join(text)) for k, text in enumerate(rows)]
+
+
+@pytest.mark.parametrize("crowd, sample", [(2, 1), (16, 1), (16, 16)])
+def test_similar_groups_among_half_similar_texts(spark, monkeypatch, crowd, sample):
+    """400 copies with growing edits: near pairs far from the hub are found, and few pairs are looked at."""
+    monkeypatch.setattr(ngram_join, "CROWD", crowd)
+    monkeypatch.setattr(ngram_join, "SAMPLE_ONE_IN", sample)
+    rng = random.Random(crowd)
+    rows = edited_copies(rng, 400, 120, 40, 0) + edited_copies(rng, 60, 300, 90, 10_000) + edited_copies(rng, 60, 14, 5, 20_000)
+    looked_at = []
+    verified = ngram_join.verified
+
+    def counted(pairs, *rest):
+        looked_at.append(pairs.count())
+        return verified(pairs, *rest)
+
+    monkeypatch.setattr(ngram_join, "verified", counted)
+    found = ngram_join.similar_groups(spark.createDataFrame(rows, "doc_id long, text string").repartition(6))
+    assert {r["doc_id"]: r["component_id"] for r in found.collect()} == brute.components(dict(rows))
+    assert sum(looked_at) < 12 * len(rows)
+
+
+def test_differences_keep_every_similar_pair(spark):
+    """Similar sets that are not both similar to their hub stay candidates, whatever the hub."""
+    rng = np.random.default_rng(7)
+    rows, hub = [], np.sort(rng.choice(2**40, 90, replace=False).astype(np.uint64))
+    for k in range(160):
+        size = rng.integers(0, 60)
+        mine = np.union1d(rng.choice(hub, len(hub) - size, replace=False), rng.choice(2**40, size, replace=False).astype(np.uint64))
+        rows.append(mine)
+        for _ in range(2):
+            lost = rng.integers(0, 12)
+            rows.append(np.union1d(rng.choice(mine, len(mine) - lost, replace=False), rng.choice(2**40, rng.integers(0, 12)).astype(np.uint64)))
+    sets = spark.createDataFrame([(k, bytearray(t.tobytes()), len(t)) for k, t in enumerate([hub, *rows])], "node long, tokens binary, size int")
+    members = spark.createDataFrame([(0, k + 1, k + 1) for k in range(len(rows))], "hub long, node long, component long")
+    found = {tuple(row) for row in ngram_join.difference_pairs(members, sets, 80, "test").collect()}
+
+    def similar(a, b):
+        common = len(np.intersect1d(a, b))
+        return 100 * common >= 80 * (len(a) + len(b) - common)
+
+    want = {(a + 1, b + 1) for a in range(len(rows)) for b in range(a + 1, len(rows))
+            if similar(rows[a], rows[b]) and not (similar(rows[a], hub) and similar(rows[b], hub))}
+    assert len(want) > 100 and want <= found and len(found) < 4 * len(want) + 200
+
+
 @pytest.mark.parametrize("frequent_share", [0.0, 0.5, 1.0])
 def test_prefixes_of_similar_sets_share_a_key(frequent_share):
     rng = np.random.default_rng(2)
