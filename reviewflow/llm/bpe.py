@@ -35,7 +35,9 @@ WIDEST = 64
 # The literal has the ranks in so many small maps, by a hash of the token: Spark searches a map from its start.
 RANK_MAPS = 1 << 16
 NO_RANK = 1 << 30
-HELD_WORDS = 400_000
+HELD_WORDS = 200_000
+# Bytes of text or ids handled at a time; a single longer row is handled alone.
+CHUNK = 2 << 20
 
 _SPACE, _LETTER, _NUMBER, _OTHER = 0, 1, 2, 3
 # White space as Unicode defines it.
@@ -114,8 +116,10 @@ class Merges:
         for width in (8, 12, 16, 32, WIDEST):
             rows = np.flatnonzero((lengths > least) & (lengths <= width))
             least = width
-            for start in range(0, len(rows), 1 << 15):
-                part = rows[start:start + (1 << 15)]
+            # Matrices of at most 2 MB, of which a round holds several.
+            step = (1 << 18) // width
+            for start in range(0, len(rows), step):
+                part = rows[start:start + step]
                 done.append((part, self._encode_matrix(data, places[part], lengths[part], width)))
         for row in np.flatnonzero(lengths > WIDEST):
             ids = np.array(self.encode_long(data[places[row]:places[row + 1]].tobytes()), np.int64)
@@ -217,7 +221,7 @@ def _count_words(classes):
         held: dict[bytes, int] = {}
         for batch in batches:
             column = text_column(batch)
-            for start, end in chunks(column):
+            for start, end in chunks(column, CHUNK):
                 codes, distinct = word_codes(cut_pieces(column.slice(start, end - start), classes.value)[0])
                 for word, n in zip(distinct.to_pylist(), np.bincount(codes, minlength=len(distinct)).tolist()):
                     held[word] = held.get(word, 0) + n
@@ -273,7 +277,7 @@ def _encode(shared):
         merges = Merges(table)
         for batch in batches:
             column = text_column(batch)
-            for start, end in chunks(column):
+            for start, end in chunks(column, CHUNK):
                 pieces, rows = cut_pieces(column.slice(start, end - start), classes)
                 codes, distinct = word_codes(pieces)
                 known = [folded.get(word) for word in distinct.to_pylist()]
@@ -296,6 +300,15 @@ def _encode(shared):
     return encode
 
 
+def _encoder(docs: DataFrame, path: str):
+    """What the tasks need to encode: classes of characters, merges, and the ids of the folded words."""
+    spark: SparkSession = docs.sparkSession
+    ranks = load_ranks(path)
+    classes = character_classes()
+    folded = frequent_words(docs, ranks, spark.sparkContext.broadcast(classes))
+    return spark.sparkContext.broadcast((classes, merge_table(ranks), folded))
+
+
 def encode(docs: DataFrame, path: str) -> DataFrame:
     """Token ids of each text.
 
@@ -303,14 +316,10 @@ def encode(docs: DataFrame, path: str) -> DataFrame:
     rank on each line. Returns one row per row: doc_id, n_tokens, ids (32-bit
     little-endian integers on end). A null or empty text has no tokens. No
     special tokens: their names are ordinary text. Repeated rows and null ids
-    are encoded like any other.
+    are encoded like any other, an empty table gives no rows, and other columns,
+    whatever their names, are not looked at. A very long text is encoded whole.
     """
-    spark: SparkSession = docs.sparkSession
-    ranks = load_ranks(path)
-    classes = character_classes()
-    folded = frequent_words(docs, ranks, spark.sparkContext.broadcast(classes))
-    shared = spark.sparkContext.broadcast((classes, merge_table(ranks), folded))
-    return docs.select("doc_id", "text").mapInArrow(_encode(shared), "doc_id long, n_tokens long, ids binary")
+    return docs.select("doc_id", "text").mapInArrow(_encode(_encoder(docs, path)), "doc_id long, n_tokens long, ids binary")
 
 
 def _decode(pieces):
@@ -318,7 +327,7 @@ def _decode(pieces):
         words = pa.array(pieces.value, pa.large_binary())
         for batch in batches:
             column = batch.column("ids").cast(pa.large_binary())
-            for start, end in chunks(column):
+            for start, end in chunks(column, CHUNK):
                 data, places = layout(column.slice(start, end - start))
                 found = words.take(pa.array(np.frombuffer(data.tobytes(), "<u4").astype(np.int64)))
                 data, word_places = layout(found)
@@ -330,17 +339,28 @@ def _decode(pieces):
     return decode
 
 
-def decode(encoded: DataFrame, path: str) -> DataFrame:
-    """Add ``decoded``: the bytes of the pieces of ``ids`` (not null) on end."""
+def _pieces(path: str) -> list[bytes]:
     ranks = load_ranks(path)
     pieces = [b""] * (max(ranks.values()) + 1)
     for token, rank in ranks.items():
         pieces[rank] = token
+    return pieces
+
+
+def decode(encoded: DataFrame, path: str) -> DataFrame:
+    """Add ``decoded``: the bytes of the pieces of ``ids`` (not null) on end."""
     schema = ", ".join(f"`{name}` {kind}" for name, kind in encoded.dtypes) + ", decoded binary"
-    return encoded.mapInArrow(_decode(encoded.sparkSession.sparkContext.broadcast(pieces)), schema)
+    return encoded.mapInArrow(_decode(encoded.sparkSession.sparkContext.broadcast(_pieces(path))), schema)
+
+
+def round_trip(docs: DataFrame, path: str) -> DataFrame:
+    """``decode(encode(docs))`` in one pass: a task needs one Python worker instead of two with all tables."""
+    encoding, decoding = _encode(_encoder(docs, path)), _decode(docs.sparkSession.sparkContext.broadcast(_pieces(path)))
+    return docs.select("doc_id", "text").mapInArrow(
+        lambda batches: decoding(encoding(batches)), "doc_id long, n_tokens long, ids binary, decoded binary")
 
 
 def token_digests(docs: DataFrame, path: str) -> DataFrame:
-    """doc_id, n_tokens, and SHA-256 of the ids and of the decoded text, of each row of ``docs``."""
-    return decode(encode(docs, path), path).select(
+    """doc_id, n_tokens, and SHA-256 of the ids and of the decoded text, of each row of ``docs``; see ``encode``."""
+    return round_trip(docs, path).select(
         "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))

@@ -23,6 +23,9 @@ LINE_SHARE = 0.01
 # A document is depleted when more than this share of its words goes.
 MAX_REMOVED = 0.5
 
+# Bytes of text measured at a time; a single longer text is measured alone.
+CHUNK = 1 << 20
+
 _SYMBOL = np.zeros(256, bool)
 _SYMBOL[list(b"#*$%&|<>")] = True
 _MEASURED = ("row long, doc_id long, host string, n_words long, word_chars long, n_symbols long, n_dup_lines long, "
@@ -62,10 +65,10 @@ def _measure_chunk(rows: pa.Array, ids: pa.Array, hosts: pa.Array, column: pa.Ar
     data, places = layout(column)
     words, bounds = split_words(column)
     codes, _ = word_codes(words)
-    continued = np.concatenate([[0], np.cumsum((words_bytes := layout(words)[0]) >> 6 == 2)])
+    continued = np.concatenate([[0], np.cumsum(layout(words)[0] >> 6 == 2, dtype=np.int32)])
     letters = layout(words)[1]
     points = np.diff(letters) - np.diff(continued[letters])
-    symbols = np.concatenate([[0], np.cumsum(_SYMBOL[data])])
+    symbols = np.concatenate([[0], np.cumsum(_SYMBOL[data], dtype=np.int32)])
     # Lines: cut at each \n and at the end of each row.
     cuts = np.flatnonzero(data == 10)
     n_lines = np.diff(np.searchsorted(cuts, places)) + 1
@@ -107,7 +110,7 @@ def _measure_chunk(rows: pa.Array, ids: pa.Array, hosts: pa.Array, column: pa.Ar
 def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         column = text_column(batch)
-        for start, end in chunks(column):
+        for start, end in chunks(column, CHUNK):
             part = batch.slice(start, end - start)
             yield _measure_chunk(part.column("row"), part.column("doc_id"), part.column("host"), column.slice(start, end - start))
 
