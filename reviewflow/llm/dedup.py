@@ -13,7 +13,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reviewflow.llm.tables import NO_ID, keep_rows, numbered, saved
+from reviewflow.llm.rows import drop_rows
+from reviewflow.llm.tables import NO_ID, numbered, saved
 from reviewflow.llm.text import WHITE_SPACE, text_column
 
 # Splitters see this many leading bytes of a text (and a digest of all of it),
@@ -122,6 +123,6 @@ def exact_groups(docs: DataFrame, row: str | None = None) -> DataFrame:
 
 
 def drop_exact_copies(docs: DataFrame) -> DataFrame:
-    """``docs`` with one row of each group of equal texts, all its columns."""
+    """``docs`` with one row of each group of equal texts, all its columns; see ``exact_groups`` for which, and for odd rows."""
     docs, row = numbered(docs)
-    return keep_rows(docs, row, exact_groups(docs, row).where("kept"))
+    return drop_rows(docs, row, exact_groups(docs, row).where("NOT kept").select("row"))

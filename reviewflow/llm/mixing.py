@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reviewflow.llm.tables import NO_ID, keep_rows, numbered, running_total, saved
+from reviewflow.llm.tables import NO_ID, numbered, repeat_rows, running_total, saved
 from reviewflow.llm.text import text_column, word_counts
 from reviewflow.operators.sequence import with_sequence
 
@@ -125,4 +125,4 @@ def draw(docs: DataFrame, **options) -> DataFrame:
     taken = mix(docs, row=row, **options).where("repeats > 0").select("row", "repeats")
     same = docs.select(F.col(row).alias("row"), "doc_id", "source", F.sha2(F.col("text").cast("binary"), 256).alias("digest"))
     once = same.join(taken, "row").groupBy("doc_id", "source", "digest").agg(F.min("row").alias("row"), F.max("repeats").alias("repeats"))
-    return keep_rows(docs, row, once, copies="repeats")
+    return repeat_rows(docs, row, once, "repeats")

@@ -37,7 +37,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from reviewflow.llm.graph import components
-from reviewflow.llm.tables import NO_ID, keep_rows, numbered, saved
+from reviewflow.llm.rows import drop_rows
+from reviewflow.llm.tables import NO_ID, numbered, saved
 from reviewflow.llm.text import chunks, mix, split_words, text_column, word_codes, word_hashes
 from reviewflow.llm.urls import bloom_filter, bloom_passes
 
@@ -55,7 +56,7 @@ TOKENS_PER_KEY = 20
 # Buckets of the bitmaps that sieve candidates before whole sets are compared.
 BITMAP = 1024
 # Keys with more components than this are joined by differences from their hub; the others by all pairs.
-CROWD = 16
+CROWD = 64
 # Documents seen in a task, so that copies give their keys once.
 SEEN = 1 << 18
 
@@ -137,22 +138,24 @@ def _groups(size: int) -> list[int]:
     return sorted({groups(size), groups(size * 100 // PERCENT)})
 
 
+def _rate(part: np.ndarray, frequent: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """How often tokens were seen in the sample, 0 if not frequent; ``frequent`` is sorted."""
+    if not len(frequent):
+        return np.zeros(len(part), np.int64)
+    place = np.minimum(np.searchsorted(frequent, part), len(frequent) - 1)
+    return np.where(frequent[place] == part, counts[place], 0)
+
+
 def prefix_keys(tokens: np.ndarray, frequent: np.ndarray, counts: np.ndarray, percent: int = PERCENT) -> np.ndarray:
     """The index keys of one document; ``frequent`` is sorted."""
     size = len(tokens)
     need = size - (percent * size + 99) // 100 + 1 + size // TOKENS_PER_KEY
 
-    def rate(part: np.ndarray) -> np.ndarray:
-        if not len(frequent):
-            return np.zeros(len(part), np.int64)
-        place = np.minimum(np.searchsorted(frequent, part), len(frequent) - 1)
-        return np.where(frequent[place] == part, counts[place], 0)
-
     first = tokens[:need + need // 2 + 8]
-    rare = first[rate(first) == 0]
+    rare = first[_rate(first, frequent, counts) == 0]
     if len(rare) >= need:
         return rare[:need]
-    count = rate(tokens)
+    count = _rate(tokens, frequent, counts)
     order = np.argsort(count, kind="stable")
     ordered, count = tokens[order], count[order]
     single = int(np.searchsorted(count, COMBINED_IN_SAMPLE))
@@ -261,42 +264,54 @@ def _verify(percent: int):
     return verify
 
 
-def _differences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The tokens that either a document or its hub lacks, a row for each."""
-    for batch in batches:
-        parts = [np.setxor1d(np.frombuffer(mine, np.uint64), np.frombuffer(other, np.uint64), assume_unique=True)
-                 for mine, other in zip(batch.column("tokens").to_pylist(), batch.column("hub_tokens").to_pylist())]
-        widths = np.array([len(part) for part in parts], np.int64)
-        which = pa.array(np.repeat(np.arange(len(parts)), widths))
-        tokens = np.concatenate([np.zeros(0, np.uint64), *parts]).view(np.int64)
-        for at in range(0, len(tokens), 1 << 17):
-            rows = which.slice(at, 1 << 17)
-            yield pa.RecordBatch.from_arrays(
-                [*(batch.column(name).take(rows) for name in ("hub", "node", "component", "size")),
-                 pa.array(np.repeat(widths, widths)[at:at + (1 << 17)]), pa.array(tokens[at:at + (1 << 17)])],
-                ["hub", "node", "component", "size", "width", "token"])
+def _most_apart(size, percent: int):
+    """In how many tokens a similar partner of any size can differ."""
+    return (size + size * 100 // percent) * (100 - percent) // (100 + percent)
 
 
-def difference_pairs(members: DataFrame, sets: DataFrame, percent: int, label: str) -> DataFrame:
+def _differences(percent: int, frequent: np.ndarray, counts: np.ndarray):
+    """The first tokens of those that either a document or its hub lacks, a row for each.
+
+    All documents of a hub order them alike: those that the hub lacks come
+    first, of them the rarest.
+    """
+    def differences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            tokens, widths = [np.zeros(0, np.uint64)], []
+            for size, mine, other in zip(*(batch.column(name).to_pylist() for name in ("size", "tokens", "hub_tokens"))):
+                mine, other = np.frombuffer(mine, np.uint64), np.frombuffer(other, np.uint64)
+                apart = np.setxor1d(mine, other, assume_unique=True)
+                order = np.lexsort((apart, _rate(apart, frequent, counts), np.isin(apart, other, assume_unique=True)))
+                tokens.append(apart[order[:_most_apart(size, percent) + 1]])
+                widths.append((len(apart), len(tokens[-1])))
+            width, early = np.array(widths, np.int64).reshape(-1, 2).T
+            which = np.repeat(np.arange(len(early)), early)
+            place = np.arange(len(which)) - np.repeat(np.cumsum(early) - early, early)
+            tokens = np.concatenate(tokens).view(np.int64)
+            for at in range(0, len(tokens), 1 << 17):
+                rows = which[at:at + (1 << 17)]
+                yield pa.RecordBatch.from_arrays(
+                    [*(batch.column(name).take(pa.array(rows)) for name in ("hub", "node", "component", "size")),
+                     pa.array(width[rows]), pa.array(place[at:at + (1 << 17)]), pa.array(tokens[at:at + (1 << 17)])],
+                    ["hub", "node", "component", "size", "width", "place", "token"])
+    return differences
+
+
+def difference_pairs(members: DataFrame, sets: DataFrame, percent: int, label: str, frequent: np.ndarray, counts: np.ndarray) -> DataFrame:
     """Pairs (a, b) of different components, among the ``members`` (hub, node, component) of a hub, that may be similar.
 
     All similar pairs of which not both are similar to the hub are among them.
     |a ^ b| = |A ^ B| must be at most D, so A and B share (|A| + |B| - D) / 2
     tokens or more, and one of them is so early in both, in any common order.
-    Rare ones lead the order.
+    ``frequent`` (sorted) and ``counts`` tell which tokens are frequent at all.
     """
     node = sets.select("node", "tokens", "size").dropDuplicates(["node"])
     hub = node.select(F.col("node").alias("hub"), F.col("tokens").alias("hub_tokens"))
-    tokens = saved(members.join(node, "node").join(hub, "hub").select(
+    placed = saved(members.join(node, "node").join(hub, "hub").select(
         "hub", "node", "component", "size", "tokens", "hub_tokens").mapInArrow(
-        _differences, "hub long, node long, component long, size int, width long, token long"), f"{label}-differences")
-    counts = tokens.groupBy("hub", "token").agg(F.count("*").alias("n"))
-    order = Window.partitionBy("hub", "node").orderBy("n", "token")
-    # The largest possible D, with a partner as large as can be.
-    most = f"(size + size * 100 div {percent}) * (100 - {percent}) div (100 + {percent})"
-    placed = saved(tokens.join(counts, ["hub", "token"]).withColumn("place", F.row_number().over(order) - 1).where(
-        f"place <= {most} AND n > 1"), f"{label}-early")
+        _differences(percent, frequent, counts), "hub long, node long, component long, size int, width long, place long, token long"), f"{label}-early")
     # The one with the smaller difference needs the shorter part.
+    most = f"(size + size * 100 div {percent}) * (100 - {percent}) div (100 + {percent})"
     left = placed.where(f"2 * place <= {most}").selectExpr("hub", "token", "node AS a", "component AS a_component", "size AS a_size", "width AS a_width", "place AS a_place")
     right = placed.selectExpr("hub", "token", "node AS b", "component AS b_component", "size AS b_size", "width AS b_width", "place AS b_place")
     allowed = f"a_size + b_size - 2 * (({percent} * (a_size + b_size) + {99 + percent}) div {100 + percent})"
@@ -360,8 +375,9 @@ def similar_groups(docs: DataFrame, n: int = NGRAM, percent: int = PERCENT, row:
         .where(F.col("n") >= FREQUENT_IN_SAMPLE).orderBy(F.desc("n"), "token").limit(FREQUENT_TOKENS).toArrow())
     tokens = frequent.column("token").to_numpy().view(np.uint64)
     order = np.argsort(tokens)
+    rates = tokens[order], frequent.column("n").to_numpy()[order]
     index = docs.mapInArrow(
-        _index(n, percent, tokens[order], frequent.column("n").to_numpy()[order]), "key long, node long, size int")
+        _index(n, percent, *rates), "key long, node long, size int")
 
     key = Window.partitionBy("key")
     met = saved(
@@ -420,7 +436,7 @@ def similar_groups(docs: DataFrame, n: int = NGRAM, percent: int = PERCENT, row:
         "hub", "node", "component").distinct(), "members")
     if not members.isEmpty():
         nodes = members.select("node").union(members.select("hub")).distinct()
-        apart = difference_pairs(members, _token_table(docs, nodes, classes, n, "member-sets"), percent, "members")
+        apart = difference_pairs(members, _token_table(docs, nodes, classes, n, "member-sets"), percent, "members", *rates)
         beside = members.select(F.least("hub", "node").alias("a"), F.greatest("hub", "node").alias("b"))
         rest = rest.union(apart).union(beside).distinct()
     more = check(saved(rest.join(checked, ["a", "b"], "left_anti"), "rest-pairs"), "rest")
@@ -438,6 +454,6 @@ def similar_groups(docs: DataFrame, n: int = NGRAM, percent: int = PERCENT, row:
 
 
 def keep_one_of_each(docs: DataFrame, **options) -> DataFrame:
-    """``docs`` with the document of the smallest id of each component, all columns."""
+    """``docs`` with the document of the smallest id of each component, all columns; see ``similar_groups`` for odd rows."""
     docs, row = numbered(docs)
-    return keep_rows(docs, row, similar_groups(docs, row=row, **options).where("kept"))
+    return drop_rows(docs, row, saved(similar_groups(docs, row=row, **options).where("NOT kept").select("row"), "not-kept"))

@@ -11,6 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from reviewflow.llm.rows import set_apart
 from reviewflow.llm.tables import numbered, saved
 from reviewflow.llm.text import (chunks, layout, row_numbers, row_sums, split_words, text_column,
                                  word_codes, word_hashes)
@@ -181,6 +182,9 @@ def _remove_lines(gone: str):
 def keep_good(docs: DataFrame, **options) -> DataFrame:
     """The documents that pass without the lines to remove, all columns; a column n_chars is brought up to date."""
     docs, row = numbered(docs)
-    gone = f"{row}_gone_lines"
-    kept = judge(docs, row=row, **options).where("kept").select(F.col("row").alias(row), F.col("gone_lines").alias(gone))
-    return docs.join(kept, row).drop(row).mapInArrow(_remove_lines(gone), docs.drop(row).schema)
+    gone, stays = f"{row}_gone_lines", f"{row}_stays"
+    touched = saved(judge(docs, row=row, **options).where("NOT kept OR gone_lines IS NOT NULL").select("row", "kept", "gone_lines"), "touched")
+    clear, others = set_apart(docs, row, touched)
+    decided = others.join(touched.select(F.col("row").alias(row), F.col("kept").alias(stays), F.col("gone_lines").alias(gone)), row, "left")
+    changed = decided.where(F.coalesce(F.col(stays), F.lit(True))).drop(row, stays).mapInArrow(_remove_lines(gone), docs.drop(row).schema)
+    return clear.drop(row).union(changed)

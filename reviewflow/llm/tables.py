@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -24,7 +25,7 @@ def saved(df: DataFrame, label: str) -> DataFrame:
     return materialize(df, f"llm-{label}")
 
 
-def _new_names(df: DataFrame, *names: str) -> list[str]:
+def new_names(df: DataFrame, *names: str) -> list[str]:
     """The names, with underscores in front until no column of ``df`` has them."""
     taken = {column.lower() for column in df.columns}
     depth = 1
@@ -33,41 +34,28 @@ def _new_names(df: DataFrame, *names: str) -> list[str]:
     return ["_" * depth + name for name in names]
 
 
-def keep_ids(docs: DataFrame, ids: DataFrame, copies: str | None = None) -> DataFrame:
-    """The rows of ``docs`` whose doc_id is in ``ids``, one row for each id, all columns.
+def numbered(docs: DataFrame) -> tuple[DataFrame, str]:
+    """``docs`` with a unique number of each row, and that column's name; written once, so a row keeps its number.
 
-    With ``copies``, a column of ``ids``, each row comes that many times. A null
-    id is an id like any other. Rows that share an id are one document, of
-    which any row serves.
+    This is where a stage over a whole table starts, so what earlier stages
+    shuffled and nothing refers to any more is let go: Spark deletes the files
+    of a shuffle when the driver's garbage collectors find that.
     """
-    by, place, times, copy = _new_names(docs, "id", "place", "times", "copy")
-    key = F.coalesce(F.col("doc_id"), F.lit(NO_ID))
-    wanted = ids.select(key.alias(by), *([F.col(copies).cast("int").alias(times)] if copies else []))
-    rows = docs.withColumn(by, key).join(wanted, by, "inner" if copies else "left_semi")
-    rows = rows.withColumn(place, F.row_number().over(Window.partitionBy(by).orderBy(by))).where(F.col(place) == 1)
-    if copies:
-        rows = rows.withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(times))))
-    return rows.select(*[F.col(f"`{name}`") for name in docs.columns])
-
-
-def numbered(docs: DataFrame) -> tuple[DataFrame, str]:
-    """``docs`` with a unique number of each row, and that column's name; written once, so a row keeps its number."""
-    name, = _new_names(docs, "row")
+    gc.collect()
+    docs.sparkSession.sparkContext._jvm.System.gc()
+    name, = new_names(docs, "row")
     return saved(docs.withColumn(name, F.monotonically_increasing_id()), "numbered"), name
 
 
-def keep_rows(docs: DataFrame, name: str, rows: DataFrame, copies: str | None = None) -> DataFrame:
+def repeat_rows(docs: DataFrame, name: str, rows: DataFrame, copies: str) -> DataFrame:
     """The rows of ``docs``, numbered by its column ``name``, whose number is in ``rows.row``; without that column.
 
-    Ids play no part, so rows that share one (or have none) are kept or
-    dropped each for itself. With ``copies``, a column of ``rows``, each row
-    comes that many times.
+    Each row comes as often as ``copies``, a column of ``rows``, says. Ids play
+    no part, so rows that share one (or have none) count each for itself.
     """
-    times, copy = _new_names(docs, "times", "copy")
-    wanted = rows.select(F.col("row").alias(name), *([F.col(copies).cast("int").alias(times)] if copies else []))
-    kept = docs.join(wanted, name, "inner" if copies else "left_semi")
-    if copies:
-        kept = kept.withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(times))))
+    times, copy = new_names(docs, "times", "copy")
+    wanted = rows.select(F.col("row").alias(name), F.col(copies).cast("int").alias(times))
+    kept = docs.join(wanted, name).withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(times))))
     return kept.select(*[F.col(f"`{column}`") for column in docs.columns if column != name])
 
 

@@ -85,6 +85,15 @@ def bloom_passes(df: DataFrame, key: str, bloom: DataFrame, blocks: int = BLOOM_
     return rows.where(F.col("word").bitwiseAND(mask) == mask).select(*df.columns)
 
 
+def bloom_flag(df: DataFrame, key: str, bloom: DataFrame, flag: str, blocks: int = BLOOM_BLOCKS, bits: int = BLOOM_BITS) -> DataFrame:
+    """Add ``flag``: whether the key may be in the filter. Columns named ``flag`` and more are used on the way."""
+    block, word = f"{flag}_block", f"{flag}_word"
+    found = df.withColumn(block, _block(F.col(key), blocks)).join(
+        F.broadcast(bloom.select(F.col("block").alias(block), F.col("word").alias(word))), block, "left")
+    mask = _bits(F.col(key), bits)
+    return found.withColumn(flag, F.coalesce(F.col(word).bitwiseAND(mask) == mask, F.lit(False))).drop(block, word)
+
+
 def listed_pages(pages: DataFrame, listed: DataFrame, blocks: int = BLOOM_BLOCKS, bits: int = BLOOM_BITS) -> DataFrame:
     """Add ``canonical`` and ``listed``: whether the canonical address is in ``listed.canonical``.
 

@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 import public_tokenizers
 from reviewflow.llm import bpe, dedup, lm, mixing, ngram_join, pages, pii, quality, toxicity, urls
-from reviewflow.llm.tables import NO_ID, keep_ids, running_total
+from reviewflow.llm.rows import drop_rows
+from reviewflow.llm.tables import NO_ID, running_total
 from tests.llm import brute
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
@@ -262,7 +263,7 @@ def test_differences_keep_every_similar_pair(spark):
             rows.append(np.union1d(rng.choice(mine, len(mine) - lost, replace=False), rng.choice(2**40, rng.integers(0, 12)).astype(np.uint64)))
     sets = spark.createDataFrame([(k, bytearray(t.tobytes()), len(t)) for k, t in enumerate([hub, *rows])], "node long, tokens binary, size int")
     members = spark.createDataFrame([(0, k + 1, k + 1) for k in range(len(rows))], "hub long, node long, component long")
-    found = {tuple(row) for row in ngram_join.difference_pairs(members, sets, 80, "test").collect()}
+    found = {tuple(row) for row in ngram_join.difference_pairs(members, sets, 80, "test", np.zeros(0, np.uint64), np.zeros(0, np.int64)).collect()}
 
     def similar(a, b):
         common = len(np.intersect1d(a, b))
@@ -558,7 +559,14 @@ def test_stages_keep_rows_by_their_own_text(spark):
     assert drawn == sorted(2 * rows(single))
 
 
-def test_keep_ids_keeps_clashing_columns(docs):
-    kept = keep_ids(docs, docs.where("doc_id < 10 OR doc_id IS NULL").select("doc_id"))
-    assert kept.columns == docs.columns
-    assert sorted(r["doc_id"] or -1 for r in kept.collect()) == [-1, *range(1, 10)]
+def test_drop_rows_keeps_clashing_columns(spark, docs):
+    numbered = docs.select(F.monotonically_increasing_id().alias("n"), "*").withColumns({"_touched": F.lit(1), "block": F.lit(2), "word": F.lit(3)}).cache()
+    dropped = numbered.where("doc_id < 10 OR doc_id IS NULL").select(F.col("n").alias("row"))
+    kept = drop_rows(numbered, "n", dropped)
+    assert kept.columns == numbered.columns[1:]
+    assert sorted(r["doc_id"] for r in kept.collect()) == sorted(r["doc_id"] for r in docs.where("doc_id >= 10").collect())
+    # A filter that is full lets all rows through to the exact join.
+    many = spark.range(300_000)
+    assert drop_rows(many, "id", many.where("id % 3 > 0").select(F.col("id").alias("row"))).columns == []
+    rest = drop_rows(many.select("id", F.col("id").alias("value")), "id", many.where("id % 3 > 0").select(F.col("id").alias("row")))
+    assert rest.selectExpr("count(*) AS n", "max(value % 3) AS most").first().asDict() == {"n": 100_000, "most": 0}
