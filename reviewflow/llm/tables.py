@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import gc
+import re
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -14,6 +15,9 @@ from reviewflow.session import materialize
 
 # Stands in for a null id where ids are compared or joined; sorts before all others.
 NO_ID = -(1 << 63)
+# Files whose names are broadcast to number rows, some MB at most, and bits for the rows of one.
+MOST_FILES = 20_000
+ROWS_BITS = 40
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -34,8 +38,26 @@ def new_names(df: DataFrame, *names: str) -> list[str]:
     return ["_" * depth + name for name in names]
 
 
+def _place_in_files(docs: DataFrame, name: str) -> DataFrame | None:
+    """``docs`` with a number made of each row's file and place in it, where it is Parquet files as they are; else None."""
+    if not re.fullmatch(r"Relation \[.*\] parquet", docs._jdf.queryExecution().analyzed().toString().strip(), re.S):
+        return None
+    if len(docs.inputFiles()) > MOST_FILES:
+        return None
+    metadata = docs.metadataColumn("_metadata")
+    file, place, number = new_names(docs, f"{name}_file", f"{name}_place", f"{name}_number")
+    paths = sorted(row[0] for row in docs.select(metadata.getField("file_path")).distinct().collect())
+    files = docs.sparkSession.createDataFrame(list(zip(paths, range(len(paths)))), f"`{file}` string, `{number}` long")
+    placed = docs.select("*", metadata.getField("file_path").alias(file), metadata.getField("row_index").alias(place))
+    row = F.shiftleft(F.col(number), ROWS_BITS).bitwiseOR(F.col(place))
+    return placed.join(F.broadcast(files), file).select(*[docs[f"`{column}`"] for column in docs.columns], row.alias(name))
+
+
 def numbered(docs: DataFrame) -> tuple[DataFrame, str]:
-    """``docs`` with a unique number of each row, and that column's name; written once, so a row keeps its number.
+    """``docs`` with a unique number of each row, which it keeps, and that column's name.
+
+    Rows of a Parquet table are numbered by their file and place in it. Any
+    other frame is written once.
 
     This is where a stage over a whole table starts, so what earlier stages
     shuffled and nothing refers to any more is let go: Spark deletes the files
@@ -44,7 +66,10 @@ def numbered(docs: DataFrame) -> tuple[DataFrame, str]:
     gc.collect()
     docs.sparkSession.sparkContext._jvm.System.gc()
     name, = new_names(docs, "row")
-    return saved(docs.withColumn(name, F.monotonically_increasing_id()), "numbered"), name
+    placed = _place_in_files(docs, name)
+    if placed is None:
+        placed = saved(docs.withColumn(name, F.monotonically_increasing_id()), "numbered")
+    return placed, name
 
 
 def repeat_rows(docs: DataFrame, name: str, rows: DataFrame, copies: str) -> DataFrame:

@@ -14,7 +14,7 @@ import corpus_pipeline
 import public_tokenizers
 from reviewflow.llm import bpe, dedup, lm, mixing, ngram_join, pages, pii, quality, toxicity, urls
 from reviewflow.llm.rows import drop_rows
-from reviewflow.llm.tables import NO_ID, running_total
+from reviewflow.llm.tables import NO_ID, numbered, running_total
 from tests.llm import brute
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
@@ -559,11 +559,25 @@ def test_stages_keep_rows_by_their_own_text(spark):
     assert drawn == sorted(2 * rows(single))
 
 
+def test_row_numbers(spark, docs, folder):
+    """Rows of Parquet files are numbered where they lie, others in a copy; each row keeps its number."""
+    clashing = docs.withColumns({"_metadata": F.lit("own"), "_row": F.lit("own")})
+    clashing.write.parquet(f"{folder}/a b+c%20d")
+    table = spark.read.parquet(f"{folder}/a b+c%20d")
+    for frame, copied in ((table, False), (table.where("doc_id > 3"), True)):
+        rows, name = numbered(frame)
+        assert ("llm-numbered" in "".join(rows.inputFiles())) == copied
+        assert rows.drop(name).columns == frame.columns and rows.count() == frame.count() == rows.select(name).distinct().count()
+        once = sorted(map(str, rows.select(name, "doc_id", "text").collect()))
+        assert once == sorted(map(str, rows.repartition(3).select(name, "doc_id", "text").collect()))
+        assert rows.where("_metadata = 'own' AND _row = 'own'").count() == frame.count()
+
+
 def test_drop_rows_keeps_clashing_columns(spark, docs):
-    numbered = docs.select(F.monotonically_increasing_id().alias("n"), "*").withColumns({"_touched": F.lit(1), "block": F.lit(2), "word": F.lit(3)}).cache()
-    dropped = numbered.where("doc_id < 10 OR doc_id IS NULL").select(F.col("n").alias("row"))
-    kept = drop_rows(numbered, "n", dropped)
-    assert kept.columns == numbered.columns[1:]
+    rows = docs.select(F.monotonically_increasing_id().alias("n"), "*").withColumns({"_touched": F.lit(1), "block": F.lit(2), "word": F.lit(3)}).cache()
+    dropped = rows.where("doc_id < 10 OR doc_id IS NULL").select(F.col("n").alias("row"))
+    kept = drop_rows(rows, "n", dropped)
+    assert kept.columns == rows.columns[1:]
     assert sorted(r["doc_id"] for r in kept.collect()) == sorted(r["doc_id"] for r in docs.where("doc_id >= 10").collect())
     # A filter that is full lets all rows through to the exact join.
     many = spark.range(300_000)
