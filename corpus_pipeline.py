@@ -9,30 +9,42 @@ from reviewflow.llm import bpe, dedup, mixing, ngram_join, quality
 from reviewflow.llm.tables import read, saved
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
+# Rows handed to Python at a time. Documents are long: Spark's own 10,000 are some 35 MB, which both sides hold more than once.
+ARROW_ROWS = 1000
+
+
+def _long_texts(spark: SparkSession) -> None:
+    """Small Arrow batches, for this session from now on, as stages run when what they return is written."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep."""
+    _long_texts(spark)
     return quality.keep_good(docs)
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of equal texts."""
+    _long_texts(spark)
     return dedup.drop_exact_copies(docs)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each component of similar texts."""
+    _long_texts(spark)
     return ngram_join.keep_one_of_each(docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The mixture: a document that is taken twice comes twice."""
+    _long_texts(spark)
     return mixing.draw(docs)
 
 
 def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token count of each entry of the mixture, digests of its ids and of the text decoded from them."""
+    _long_texts(spark)
     return bpe.token_digests(docs, str(public_tokenizers.path(VOCABULARY)))
 
 
