@@ -35,7 +35,7 @@ WIDEST = 64
 # The literal has the ranks in so many small maps, by a hash of the token: Spark searches a map from its start.
 RANK_MAPS = 1 << 16
 NO_RANK = 1 << 30
-HELD_WORDS = 200_000
+HELD_WORDS = 60_000
 # Bytes of text or ids handled at a time; a single longer row is handled alone.
 CHUNK = 2 << 20
 
