@@ -479,6 +479,8 @@ def test_copies_of_a_page_keep_their_article(spark):
     ('<div><p>Foo <span class="ad">Buy</p><p>bar</p></div>', "Foo\nbar"),
     ('<div>Foo <a class="advert" href="/x"><div>Buy<br><img src="y"></div> now</a> bar</div>', "Foo bar"),
     ('<ul><li>Foo <b class="share">Tweet<li>bar <i style="display:none">x', "Foo\nbar"),
+    ('<p>See <svg viewBox="0"><path d="M0"/><text>x</text></svg> here, <button>Buy</button>now <svg/>too</p>', "See here, now too"),
+    ('<article><p>First</p></article><p>between</p><article><p>Second, longer</p></article>', "First\nSecond, longer"),
 ])
 def test_inline_elements_declared_no_article_are_cut_out(source, want):
     assert pages.main_text(source, None) == want
@@ -502,13 +504,60 @@ def test_template_counts_what_comes_late():
     for source in sources:
         template = pages._template(pages.parse(source))
         merged = template if merged is None else pages.merge_templates(merged, template)
-    constant = pages._constants(merged, pages.CONSTANT_SHARE * len(sources))
+    def texts(root):
+        return [text for node in pages._nodes(root) for text in node.text]
 
-    def texts(node):
-        return [*node[1], *(text for child in node[2] for text in texts(child))]
-
-    assert texts(constant) == [pages._hash("same")]
+    merged = pages._load(pages._dump(merged))
     assert len(texts(merged)) < 60
+    assert pages._constants(merged, pages.CONSTANT_SHARE * len(sources))
+    assert texts(merged) == [pages._hash("same")]
+
+
+def test_constant_paragraph_after_bodies_of_any_length(spark):
+    """All blocks have one shape, so only their texts tell the notice at the end from the article."""
+    rows = [(k, "http://h.com/a", "<body>" + "".join(f"<p>Line {k} {i}</p>" for i in range(3 + k)) + "<p>Printed in Bern</p></body>")
+            for k in range(20)]
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string")
+    for parts in (1, 5):
+        found = {r["page_id"]: r["text"] for r in pages.extract_articles(frame.repartition(parts, F.col("page_id"))).collect()}
+        assert found == {k: "\n".join(f"Line {k} {i}" for i in range(3 + k)) for k in range(20)}
+
+
+def test_deep_and_wide_pages(spark):
+    """Pages nested beyond any call stack, alike and not, and 20,000 siblings, among ordinary ones of their host."""
+    page = "<body><div><p>Head {k}</p></div><h5>Printed in Bern</h5></body>"
+    rows = [(k, "http://h.com/a", page.format(k=k)) for k in range(40)]
+    rows += [(100, "http://h.com/a", "<div>" * 20_000 + "deep"), (101, "http://h.com/a", "<div>" * 19_000 + "<p>less</p>" + "</div>" * 19_000),
+             (102, "http://h.com/a", "<body>" + "".join(f"<p>{i}" for i in range(20_000)) + "</body>"),
+             (103, "http://h.com/a", "<div>" * 5_000 + "</section>" * 20_000 + "stray")]
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string")
+    found = {r["page_id"]: r["text"] for r in pages.extract_articles(frame.repartition(3, F.col("page_id"))).collect()}
+    assert found == {**{k: f"Head {k}" for k in range(40)}, 100: "deep", 101: "less", 102: "\n".join(map(str, range(20_000))), 103: "stray"}
+
+
+def test_tree_matching_against_plain_recursion():
+    rng = random.Random(3)
+
+    def tree(depth):
+        node = pages.Node(rng.choice("ab"))
+        node.children = [tree(depth - 1) for _ in range(rng.randint(0, 3) if depth else 0)]
+        return node
+
+    def best(a, b):
+        if a.tag != b.tag:
+            return 0
+        table = [[0] * (len(b.children) + 1) for _ in range(len(a.children) + 1)]
+        for i, left in enumerate(a.children):
+            for j, right in enumerate(b.children):
+                table[i + 1][j + 1] = max(table[i][j] + best(left, right), table[i][j + 1], table[i + 1][j])
+        return 1 + table[-1][-1]
+
+    for _ in range(300):
+        one, two, known = tree(3), tree(3), {}
+        two.tag = one.tag
+        pages.shape(one, known)
+        pages.shape(two, known)
+        assert pages._solve(pages._weight(one, two, {})) == best(one, two)
 
 
 def test_empty_tables(spark, empty):
