@@ -112,7 +112,10 @@ def archive(spark: SparkSession, args) -> None:
 
 
 def expired(spark: SparkSession, args) -> None:
-    maintain.expired_files(spark, args.table, maintain.live_files(read_silver(spark, args.live))).show(truncate=False)
+    """Print every expired file, oldest first; they are files, not rows, and come partition by partition."""
+    found = maintain.expired_files(spark, args.table, maintain.live_files(read_silver(spark, args.live)))
+    for row in found.orderBy("modified", "path").toLocalIterator():
+        print(row.path, row.modified, row.age_hours, sep="\t")
 
 
 JOBS = {

@@ -232,9 +232,10 @@ def stream_progress(spark, sf_dir):
 @query("stream_minute_error_rate", f"""WITH {LOGS_SQL} SELECT CAST("timestamp" AS VARCHAR) AS "timestamp",
   total_received, valid_records, invalid_records, error_rate_percent FROM bronze_metrics""")
 def stream_minute_error_rate(spark, sf_dir):
+    """The whole log as one batch, as files that were written at a time have no order that a lateness could count on."""
     out = new_path(spark, "minutes")
-    folder = staged_folder(spark, sf_dir, "bronze-log", lambda path: write_json(bronze_log(spark, sf_dir).coalesce(1), path))
-    metrics = rollup_bronze(read_json_stream(spark, folder, BRONZE_LOG_SCHEMA), lateness="1 hour")
+    folder = staged_folder(spark, sf_dir, "bronze-log", lambda path: write_json(bronze_log(spark, sf_dir).repartitionByRange("timestamp"), path))
+    metrics = rollup_bronze(read_json_stream(spark, folder, BRONZE_LOG_SCHEMA, max_files=None), lateness="1 hour")
     finish(start_metric_upserts(metrics, f"{out}/data", f"{out}/checkpoint", ONCE))
     return read_latest(spark, f"{out}/data")
 
@@ -246,14 +247,14 @@ OUT_OF_ORDER = [1, 0, 3, 2, 5, 4, 7, 6]
 @query("stream_late_files", f"""WITH {LOGS_SQL} SELECT CAST("timestamp" AS VARCHAR) AS "timestamp",
   total_received, valid_records, invalid_records, error_rate_percent FROM bronze_metrics""")
 def stream_late_files(spark, sf_dir):
-    """A file for each four days, taken one by one and out of order by up to eight days."""
+    """Files of four days each, as many as their size needs, taken one by one and out of order by up to eight days."""
     out = new_path(spark, "late")
 
     def write(path: str) -> None:
         log = bronze_log(spark, sf_dir)
         stretch = F.floor((F.dayofmonth(F.to_date(F.substring("timestamp", 1, 10))) - 1) / 4)
         for number in OUT_OF_ORDER:
-            write_json(log.where(stretch == number).coalesce(1), path)
+            write_json(log.where(stretch == number).repartitionByRange("timestamp"), path)
 
     folder = staged_folder(spark, sf_dir, "late-log", write)
     metrics = rollup_bronze(read_json_stream(spark, folder, BRONZE_LOG_SCHEMA, max_files=1), lateness="9 days")
