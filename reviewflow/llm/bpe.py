@@ -37,7 +37,7 @@ RANK_MAPS = 1 << 16
 NO_RANK = 1 << 30
 HELD_WORDS = 60_000
 # Bytes of text or ids handled at a time; a single longer row is handled alone.
-CHUNK = 2 << 20
+CHUNK = 1 << 20
 
 _SPACE, _LETTER, _NUMBER, _OTHER = 0, 1, 2, 3
 # White space as Unicode defines it.
@@ -228,6 +228,7 @@ def _count_words(classes):
                 if len(held) > HELD_WORDS:
                     yield pa.RecordBatch.from_arrays([pa.array(held.keys(), pa.binary()), pa.array(held.values(), pa.int64())], ["word", "n"])
                     held = {}
+            pa.default_memory_pool().release_unused()
         yield pa.RecordBatch.from_arrays([pa.array(held.keys(), pa.binary()), pa.array(held.values(), pa.int64())], ["word", "n"])
     return count
 
@@ -336,6 +337,7 @@ def _decode(pieces):
                     pa.large_binary(), end - start, [None, pa.py_buffer(text_places), pa.py_buffer(np.ascontiguousarray(data))])
                 yield pa.RecordBatch.from_arrays(
                     [*batch.slice(start, end - start).columns, texts.cast(pa.binary())], [*batch.schema.names, "decoded"])
+            pa.default_memory_pool().release_unused()
     return decode
 
 
