@@ -22,7 +22,7 @@ BLOCKS = 4096
 INDEX_SCHEMA = "path string, block int, word long"
 
 
-def _own_path() -> Column:
+def own_path() -> Column:
     """The file a row is read from, written as in a listing: characters as they are, no empty host."""
     plain = F.url_decode(F.replace(F.input_file_name(), F.lit("+"), F.lit("%2B")))
     return F.replace(plain, F.lit(":///"), F.lit(":/"))
@@ -30,7 +30,11 @@ def _own_path() -> Column:
 
 def file_filters(rows: DataFrame, keys: list[str] | None = None, blocks: int = BLOCKS) -> DataFrame:
     """(path, block, word) of the files that ``rows`` are read from; a file without ids has one empty word."""
-    ids = rows.select(_own_path().alias("path"), F.explode(F.array(*(keys or TRACE_KEYS))).alias("id"))
+    return filters_of(rows.select(own_path().alias("path"), F.explode(F.array(*(keys or TRACE_KEYS))).alias("id")), blocks)
+
+
+def filters_of(ids: DataFrame, blocks: int = BLOCKS) -> DataFrame:
+    """(path, block, word) of rows of path and id."""
     known = F.col("id").isNotNull()
     return ids.select(
         "path", F.when(known, block_of(F.col("id"), blocks)).otherwise(0).alias("block"),
@@ -45,22 +49,28 @@ def read_index(spark: SparkSession, index: str) -> DataFrame:
 
 
 def update_index(spark: SparkSession, index: str, folder: str, read: Callable[[list[str]], DataFrame],
-                 keys: list[str] | None = None, pattern: str | None = None, blocks: int = BLOCKS) -> list[str]:
+                 keys: list[str] | None = None, pattern: str | None = None, blocks: int = BLOCKS,
+                 make: Callable[[DataFrame], DataFrame] | None = None) -> list[str]:
     """Index the files of ``folder`` that are not in ``index`` yet, and return them.
 
-    ``read`` makes rows with the ``keys`` of a list of files. Files must not
-    change once written. A file that was indexed twice, by jobs side by side,
-    does no harm.
+    ``read`` makes rows with the ``keys`` of a list of files; ``make`` turns
+    them into filters, by default ``file_filters``. Files must not change once
+    written. A file that was indexed twice, by jobs side by side, does no harm.
     """
-    listed = list_files(spark, folder, pattern).select("path").where("path NOT RLIKE '/[_.][^/]*$'")
-    known = read_index(spark, index).select(F.col("path")).distinct()
-    # The names of new files only, which the reader needs on the driver as any list of inputs.
-    fresh = [row.path for row in listed.join(known, "path", "left_anti").orderBy("path").collect()]
+    fresh = new_files(spark, index, folder, pattern)
     if fresh:
-        file_filters(read(fresh), keys, blocks).write.mode("append").parquet(index)
+        filters = make(read(fresh)) if make else file_filters(read(fresh), keys, blocks)
+        filters.write.mode("append").parquet(index)
     return fresh
 
 
+def new_files(spark: SparkSession, index: str, folder: str, pattern: str | None = None) -> list[str]:
+    """Files of ``folder`` that are not in ``index``: names that the reader needs on the driver as any list of inputs."""
+    listed = list_files(spark, folder, pattern).select("path").where("path NOT RLIKE '/[_.][^/]*$'")
+    known = read_index(spark, index).select(F.col("path")).distinct()
+    return [row.path for row in listed.join(known, "path", "left_anti").orderBy("path").collect()]
+
+
 def candidate_files(ids: DataFrame, index: DataFrame, blocks: int = BLOCKS) -> list[str]:
     """The files that may hold one of the ids (first column of ``ids``); meant for a few ids."""
     wanted = ids.select(F.col(ids.columns[0]).alias("id")).where("id IS NOT NULL").distinct().select(

@@ -11,10 +11,10 @@ from reviewflow.functions.quality import error_percent
 MINUTE = "1 minute"
 
 
-def flatten_bronze_log(log: DataFrame) -> DataFrame:
+def flatten_bronze_log(log: DataFrame, *more: str) -> DataFrame:
     counts = ["total_received", "valid_records", "invalid_records"]
     return log.select(
-        log_second("timestamp").alias("timestamp"), "batch_id",
+        log_second("timestamp").alias("timestamp"), "batch_id", *more,
         *[F.col(f"metrics.{name}").cast("double").alias(name) for name in counts])
 
 

@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from reviewflow.streaming.progress import DroppedRows
+
 
 def start_metric_upserts(metrics: DataFrame, path: str, checkpoint: str,
                          trigger: dict | None = None) -> StreamingQuery:
@@ -14,22 +16,29 @@ def start_metric_upserts(metrics: DataFrame, path: str, checkpoint: str,
     def put(batch: DataFrame, epoch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{path}/batch_id={epoch_id}")
 
-    return (
+    dropped = DroppedRows()
+    metrics.sparkSession.streams.addListener(dropped)
+    query = (
         metrics.writeStream.outputMode("update").foreachBatch(put)
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"processingTime": "3 seconds"}))
         .start()
     )
+    query.dropped_rows, query.manager = dropped, metrics.sparkSession.streams
+    return query
 
 
 def finish(query: StreamingQuery) -> None:
-    """Wait for a stream to end and fail if its watermark dropped rows.
+    """Wait for a stream of ``start_metric_upserts`` to end and fail if its watermark dropped rows in any batch.
 
     Dropped rows mean that the allowed lateness is shorter than the disorder
     of the input, so windows are missing from the table.
     """
-    query.awaitTermination()
-    dropped = sum(state.numRowsDroppedByWatermark for progress in query.recentProgress for state in progress.stateOperators)
+    try:
+        query.awaitTermination()
+        dropped = query.dropped_rows.of(query)
+    finally:
+        query.manager.removeListener(query.dropped_rows)
     if dropped:
         raise RuntimeError(f"{dropped} rows came later than the lateness allows")
 

@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import threading
+from collections import Counter, defaultdict
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.streaming import StreamingQueryListener
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from reviewflow.schema import SILVER_LOG_SCHEMA
 
@@ -53,5 +54,34 @@ class ProgressLog(StreamingQueryListener):
         pass
 
 
+class DroppedRows(StreamingQueryListener):
+    """Adds up the rows that watermarks dropped, over all batches of each run; a query itself remembers its last 100."""
+
+    def __init__(self):
+        super().__init__()
+        self._dropped: Counter[str] = Counter()
+        self._ended: defaultdict[str, threading.Event] = defaultdict(threading.Event)
+
+    def of(self, query: StreamingQuery, seconds: float = 60.0) -> int:
+        """Rows dropped by a run that has ended; its events come in order, so all its batches were counted by then."""
+        run = str(query.runId)
+        if not self._ended[run].wait(seconds):
+            raise TimeoutError(f"no end of run {run} within {seconds} seconds")
+        return self._dropped[run]
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        states = event.progress.stateOperators
+        self._dropped[str(event.progress.runId)] += sum(state.numRowsDroppedByWatermark for state in states)
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        self._ended[str(event.runId)].set()
+
+
 def read_progress(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(SILVER_LOG_SCHEMA).option("recursiveFileLookup", True).json(path)

@@ -9,7 +9,7 @@ from reviewflow.operators.maintain import (
     archive_session, clear_dlq, compact_dlq, compact_fragmented, compact_table, compact_text, expired_files, file_plan,
     list_sessions, live_files, merge_loads, read_session,
 )
-from reviewflow.operators.rollup import rollup_bronze
+from reviewflow.operators.rollup import flatten_bronze_log, rollup_bronze
 from reviewflow.operators.routing import parse_reviews, route
 from reviewflow.schema import BRONZE_LOG_SCHEMA, REVIEW_SCHEMA
 from reviewflow.sources import folders, jdbc, loads
@@ -19,8 +19,10 @@ from reviewflow.sources.files import (
 from reviewflow.sources.messages import read_messages
 from reviewflow.sources.sinks import export_sample, write_json
 from reviewflow.streaming.metrics import finish, read_latest, start_metric_upserts
+from reviewflow.streaming.once import first_deliveries, with_arrival
 from reviewflow.streaming.progress import ProgressLog, read_progress
 from reviewflow.streaming.router import Landing, read_batch_log, read_speed_layer, route_batch, start_router
+from reviewflow.streaming.silence import silences
 from reviewflow.streaming.silver import read_silver, start_silver
 
 ONCE = {"availableNow": True}
@@ -171,6 +173,61 @@ def test_rows_that_come_too_late_are_noticed(spark, folder):
         run("1 hour")
 
 
+def test_rows_dropped_in_a_forgotten_batch_are_noticed(spark, folder):
+    for day in (3, 5, 1, 6, 7, 8):
+        rows = [(f"2024-01-0{day}T00:{i:02d}:00.0", i, (10, 9, 1, 0.0, 1.0), (True, [])) for i in range(5)]
+        write_json(spark.createDataFrame(rows, BRONZE_LOG_SCHEMA).coalesce(1), f"{folder}/log")
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "1")
+    try:
+        stream = rollup_bronze(read_json_stream(spark, f"{folder}/log", BRONZE_LOG_SCHEMA, max_files=1), lateness="1 hour")
+        query = start_metric_upserts(stream, f"{folder}/out", f"{folder}/c", ONCE)
+        with pytest.raises(RuntimeError, match="5 rows came later"):
+            finish(query)
+        assert len(query.recentProgress) <= 1
+    finally:
+        spark.conf.unset("spark.sql.streaming.numRecentProgressUpdates")
+
+
+def test_silences_are_told_once_on_a_stream_as_in_a_table(spark, folder):
+    def log(minutes, seconds):
+        return spark.createDataFrame(
+            [(f"2024-01-01T00:{minutes:02d}:{s:02d}.7", s, (1, 1, 0, 0.0, 1.0), (good, [])) for s in seconds for good in (True, None)]
+            + [(None, 0, (1, 1, 0, 0.0, 1.0), (True, []))], BRONZE_LOG_SCHEMA)
+
+    key, out = "data_quality.is_acceptable", []
+    # 30 seconds are no silence, 31 are.
+    for minutes, seconds in [(0, [0, 30]), (1, [0, 31]), (5, [0])]:
+        write_json(log(minutes, seconds).coalesce(1), f"{folder}/log")
+        stream = read_json_stream(spark, f"{folder}/log", BRONZE_LOG_SCHEMA, max_files=1)
+        found = silences(flatten_bronze_log(stream, key), "is_acceptable", lateness="0 seconds")
+        found.writeStream.option("checkpointLocation", f"{folder}/c").trigger(**ONCE).start(f"{folder}/out").awaitTermination()
+        out.append(spark.read.schema(found.schema).parquet(f"{folder}/out").count())
+    rows = spark.read.schema(found.schema).parquet(f"{folder}/out")
+    assert out == [0, 2, 4] and rows.dtypes[1:4] == [(name, "timestamp_ntz") for name in ("active_since", "silent_since", "noticed_at")]
+    table = silences(flatten_bronze_log(spark.read.schema(BRONZE_LOG_SCHEMA).json(f"{folder}/log"), key), "is_acceptable")
+    told, every = set(map(str, rows.collect())), set(map(str, table.collect()))
+    assert told < every and len(every) == 6
+    first = rows.where("is_acceptable").orderBy("active_since").first()
+    assert (first.active_since.second, first.silent_since.minute, first.noticed_at.second, first.events) == (0, 1, 30, 3)
+
+
+def test_messages_delivered_again_count_once(spark, folder):
+    def run():
+        lines = with_arrival(spark.readStream.option("maxFilesPerTrigger", 1).text(f"{folder}/in"))
+        first_deliveries(lines, ["value"], "arrived", "1 hour").select("value").writeStream.option(
+            "checkpointLocation", f"{folder}/c").trigger(**ONCE).start(f"{folder}/out").awaitTermination()
+        return sorted(r.value for r in spark.read.parquet(f"{folder}/out").collect())
+
+    for _ in range(2):
+        _put(spark, f"{folder}/in", 1, 6)
+    once = sorted(_messages(1, 6))
+    assert run() == once
+    _put(spark, f"{folder}/in", 1, 6)
+    assert run() == once
+    _put(spark, f"{folder}/in", 4, 6)
+    assert run() == sorted({*_messages(1, 6), *_messages(4, 6)})
+
+
 def test_progress_log(spark, folder):
     _put(spark, f"{folder}/in", 0, 30)
     listener = ProgressLog(spark, f"{folder}/log", query="watched")

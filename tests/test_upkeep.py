@@ -7,7 +7,8 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from reviewflow.operators import file_index
+from reviewflow.functions.search import search_rows
+from reviewflow.operators import file_index, text_index
 from reviewflow.operators.maintain import merge_loads
 from reviewflow.operators.row_reconcile import differing_cells, fingerprints, merge_fingerprints, reconcile_rows, rows_of_cells
 from reviewflow.operators.trace import trace_records
@@ -168,6 +169,63 @@ def test_no_id_is_missed(spark, folder):
     index = file_index.file_filters(rows, blocks=2).cache()
     for number in range(5):
         ids = spark.createDataFrame([(f"u{number}-{k}",) for k in range(0, 200, 50)], "id string")
-        own = {r.f for r in rows.where(f"reviewerID = 'u{number}-0'").select(file_index._own_path().alias("f")).collect()}
+        own = {r.f for r in rows.where(f"reviewerID = 'u{number}-0'").select(file_index.own_path().alias("f")).collect()}
         assert own <= set(file_index.candidate_files(ids, index, blocks=2))
     assert file_index.candidate_files(spark.createDataFrame([], "id string"), index, blocks=2) == []
+
+
+# --- text index ----------------------------------------------------------------
+
+@pytest.mark.parametrize("keyword, needed", [
+    ("error", [["error"]]), ("Err(or|ing) now", [["err", "or", " now"], ["err", "ing", " now"]]),
+    ("a|bcd", None), ("abcd|wxyz", [["abcd"], ["wxyz"]]), ("abcd*e", [["abc"]]), ("abc+def", [["abc", "def"]]),
+    ("(abc)?def", [["def"]]), ("(abc)+", [["abc"]]), ("ab{2}c", None), ("x{0}yzw", [["yzw"]]), ("1\\.50", [["1.50"]]),
+    ("(?:abc)", None), ("\\Qabc\\E", None), ("[abc]def", [["def"]]), ("[a[bc]]def", None), ("", None), ("abc)", None), ("(abc", None)])
+def test_required_texts(keyword, needed):
+    found = text_index.required_texts(keyword)
+    plain = lambda branches: branches and [[t for t in b if len(t) > 2] for b in branches]
+    assert plain(found) == plain(needed)
+
+
+def test_every_match_contains_the_required_texts():
+    rng = random.Random(11)
+    pieces = ["ab", "b", "C", "abc", ".", "[ab]", "[^c]", "(ab|bc)", "(abc|a(b|ca)b)", "(c)", "a*", "b+", "c?", "(ab)*", "(bca)+?", "a{2}", "b{0,2}", "|", "\\.", "^", "$"]
+    seen = restricted = 0
+    for _ in range(4000):
+        keyword = "".join(rng.choices(pieces, k=rng.randint(1, 7)))
+        branches = text_index.required_texts(keyword)
+        restricted += branches is not None
+        for _ in range(40):
+            text = "".join(rng.choices("abcABC.", k=rng.randint(0, 14)))
+            if branches is not None and re.search(keyword, text, re.I):
+                seen += 1
+                assert any(all(part in text.lower() for part in branch) for branch in branches), (keyword, text)
+    assert seen > 200 and restricted > 400
+
+
+def test_text_index_reads_few_files_and_finds_all(spark, folder):
+    data, index = f"{folder}/data", f"{folder}/index"
+    words = ["alpha", "bravo", "Charlie", "delta É", "echo 😀 x", "foxtrot"]
+
+    def put(number):
+        rows = [(f"{words[number]} {k}", None if k == 3 else f"row{number}") for k in range(20)] + [("", ""), (None, "lost")]
+        spark.createDataFrame(rows, "a string, b string").coalesce(1).write.mode("append").parquet(data)
+
+    def read(files):
+        return spark.read.schema("a string, b string").parquet(*files) if files else spark.createDataFrame([], "a string, b string")
+
+    for number in range(5):
+        put(number)
+    assert len(text_index.update_text_index(spark, index, data, read, pattern="*.parquet")) == 5
+    assert text_index.update_text_index(spark, index, data, read, pattern="*.parquet") == []
+    for keyword, at_most in [("CHARLIE", 1), ("a É 1", 1), ("😀 x 7", 1), ("alpha 1|bravo 2", 2), ("nothing", 0), ("o", 5), ("", 5), ("row[0-4]", 5), ("(?:alpha)", 5)]:
+        files = text_index.matching_files(text_index.read_index(spark, index), keyword)
+        assert len(files) <= at_most
+        found = text_index.search_files(spark, index, data, read, keyword, pattern="*.parquet")
+        assert sorted(map(str, found.collect())) == sorted(map(str, search_rows(spark.read.parquet(data), keyword).collect()))
+    # A file that is not indexed yet is read.
+    put(5)
+    assert text_index.search_files(spark, index, data, read, "foxtrot 1", pattern="*.parquet").count() == 11
+    # The smallest filters let more through, but hide nothing.
+    tiny = text_index.text_filters(spark.read.parquet(data), blocks=2)
+    assert len(text_index.matching_files(tiny, "bravo 2", blocks=2)) >= 1

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from reviewflow.operators.maintain import (
     archive_session, clear_dlq, compact_dlq, compact_table, compact_text, expired_files, live_files, merge_loads, read_session,
 )
-from reviewflow.operators.rollup import rollup_bronze
+from reviewflow.operators.rollup import flatten_bronze_log, rollup_bronze
 from reviewflow.operators.routing import BRONZE, DLQ, parse_reviews, route
 from reviewflow.plans.staging import with_review_date
 from reviewflow.schema import BRONZE_LOG_SCHEMA, REVIEW_SCHEMA
@@ -21,8 +21,10 @@ from reviewflow.sources.files import list_files, read_dlq, read_json_stream, rea
 from reviewflow.sources.messages import read_messages
 from reviewflow.sources.sinks import export_sample, gather, write_json
 from reviewflow.streaming.metrics import finish, read_latest, start_metric_upserts
+from reviewflow.streaming.once import first_deliveries, with_arrival
 from reviewflow.streaming.progress import ProgressLog, read_progress
 from reviewflow.streaming.router import Landing, read_batch_log, read_speed_layer, route_batch, start_router
+from reviewflow.streaming.silence import silences
 from reviewflow.streaming.silver import read_silver, start_silver
 from workload.inputs import (
     INVALID_SQL, LOGS_SQL, PARSED_SQL, REVIEWS_SQL, bronze_log, message_folder, messages, reviews, staged_folder,
@@ -262,6 +264,40 @@ def stream_late_files(spark, sf_dir):
     return read_latest(spark, f"{out}/data")
 
 
+@query("stream_silences", """WITH log AS (SELECT event_type <> 'error' AS is_acceptable, date_trunc('second', ts) AS t FROM events WHERE ts IS NOT NULL),
+marked AS (
+  SELECT *, CASE WHEN t - lag(t) OVER w <= INTERVAL 30 SECOND THEN 0 ELSE 1 END AS starts
+  FROM log WINDOW w AS (PARTITION BY is_acceptable ORDER BY t)),
+numbered AS (SELECT *, sum(starts) OVER (PARTITION BY is_acceptable ORDER BY t ROWS UNBOUNDED PRECEDING) AS n FROM marked)
+SELECT is_acceptable, CAST(min(t) AS VARCHAR) AS active_since, CAST(max(t) AS VARCHAR) AS silent_since,
+  CAST(max(t) + INTERVAL 30 SECOND AS VARCHAR) AS noticed_at, count(*) AS events
+FROM numbered GROUP BY is_acceptable, n
+HAVING max(t) + INTERVAL 30 SECOND <= (SELECT max(t) - INTERVAL 1 HOUR FROM log)""")
+def stream_silences(spark, sf_dir):
+    """When no good batch, or no bad one, was logged for more than 30 seconds; the log ends an hour before its last entry."""
+    out = new_path(spark, "silences")
+    folder = staged_folder(spark, sf_dir, "bronze-log", lambda path: write_json(bronze_log(spark, sf_dir).repartitionByRange("timestamp"), path))
+    log = read_json_stream(spark, folder, BRONZE_LOG_SCHEMA, max_files=None)
+    flat = flatten_bronze_log(log, "data_quality.is_acceptable")
+    found = silences(flat, "is_acceptable", lateness="1 hour")
+    found.writeStream.option("checkpointLocation", f"{out}/checkpoint").trigger(**ONCE).start(f"{out}/data").awaitTermination()
+    return spark.read.schema(found.schema).parquet(f"{out}/data")
+
+
+@query("stream_repeated_messages", f"""WITH {REVIEWS_SQL}
+SELECT {KEYS_SQL} FROM (SELECT DISTINCT * FROM reviews) WHERE NOT is_broken""")
+def stream_repeated_messages(spark, sf_dir):
+    """Every message delivered again after a restart of the stream, as a producer does that missed its receipt."""
+    out, lines = new_path(spark, "repeated"), messages(spark, sf_dir)
+    for _ in range(2):
+        lines.write.mode("append").text(f"{out}/in")
+        arrivals = with_arrival(spark.readStream.text(f"{out}/in")).withColumn("digest", F.sha2("value", 256))
+        first = first_deliveries(arrivals, ["digest"], "arrived", "1 day").select("value")
+        first.writeStream.option("checkpointLocation", f"{out}/checkpoint").trigger(**ONCE).start(f"{out}/data").awaitTermination()
+    kept = spark.read.schema("value string").parquet(f"{out}/data")
+    return parse_reviews(kept.where("NOT startswith(value, 'not json ')")).select(KEYS)
+
+
 # --- maintenance ------------------------------------------------------------
 
 @query("dlq_compaction", f"""WITH {PARSED_SQL} SELECT {KEYS_SQL}, TRUE AS has_raw FROM parsed WHERE {INVALID_SQL}""")

@@ -9,13 +9,14 @@ from reviewflow.functions.quality import is_invalid
 from reviewflow.operators.file_index import candidate_files, read_index, update_index
 from reviewflow.operators.routing import parse_reviews
 from reviewflow.operators.row_reconcile import differing_cells, fingerprints, merge_fingerprints, reconcile_rows
+from reviewflow.operators.text_index import search_files, update_text_index
 from reviewflow.operators.trace import trace_marked
 from reviewflow.plans.staging import with_review_date
 from reviewflow.plans.state import refresh_states
 from reviewflow.session import materialize, new_path
 from reviewflow.sources.loads import append_load
 from workload.flow_queries import KEYS, KEYS_SQL, silver_folder
-from workload.inputs import LOAD_DATES, REVIEWS_SQL, message_folder, reviews, table
+from workload.inputs import LOAD_DATES, REVIEWS_SQL, message_folder, reviews, staged_folder, table
 from workload.registry import ORACLES, query
 from workload.review_queries import CHECKED
 
@@ -120,3 +121,22 @@ def record_lookup(spark, sf_dir):
     # Without any such file the schema alone is needed.
     rows = read(files) if files else parse_reviews(spark.createDataFrame([], "value string"), fields=[*CHECKED, "orderID"])
     return trace_marked(ids, rows, is_invalid(), payload="orderID")
+
+
+# --- keyword search by text index ---------------------------------------------
+
+@query("search_indexed", """SELECT event_id, event_type, value, props FROM events
+WHERE regexp_matches(event_id || ' ' || ts || ' ' || user_id || ' ' || event_type || ' ' || value || ' ' || props,
+  '(?i)(2024-01-0[23] .* ERROR 1|2024-01-15 1.*click)')""")
+def search_indexed(spark, sf_dir):
+    """Errors of two days and clicks of one morning, read from the files that may hold them."""
+    events = table(spark, sf_dir, "events")
+    folder = staged_folder(spark, sf_dir, "events-by-time", lambda path: events.repartitionByRange("ts").write.parquet(path))
+    index = new_path(spark, "text-index")
+
+    def read(files: list[str]) -> DataFrame:
+        return spark.read.schema(events.schema).parquet(*files) if files else events.limit(0)
+
+    update_text_index(spark, index, folder, read, pattern="*.parquet")
+    found = search_files(spark, index, folder, read, "(2024-01-0[23] .* ERROR 1|2024-01-15 1.*click)", pattern="*.parquet")
+    return found.select("event_id", "event_type", "value", "props")
