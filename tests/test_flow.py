@@ -12,7 +12,7 @@ from reviewflow.operators.maintain import (
 from reviewflow.operators.rollup import flatten_bronze_log, rollup_bronze
 from reviewflow.operators.routing import parse_reviews, route
 from reviewflow.schema import BRONZE_LOG_SCHEMA, REVIEW_SCHEMA
-from reviewflow.sources import folders, jdbc, loads
+from reviewflow.sources import folders, jdbc, loads, sinks
 from reviewflow.sources.files import (
     demo_products, first_non_empty, list_files, read_dlq, read_json_stream, read_ndjson_union, read_table,
 )
@@ -420,3 +420,28 @@ def test_settings_scale_with_the_input():
 
 def test_shared_folder_is_the_configured_one(spark):
     assert session.new_path(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
+
+
+def test_compressed_lines_end_after_a_number_of_rows(spark, folder, monkeypatch):
+    monkeypatch.setattr(sinks, "ROWS_PER_FILE", 10)
+    lines = spark.createDataFrame([(m,) for m in _messages(0, 35)], "value string").coalesce(1)
+    sinks.write_lines(lines, f"{folder}/lines", compression="gzip")
+    write_json(lines, f"{folder}/json", compression="gzip")
+    for name in ("lines", "json"):
+        files = [r.path for r in list_files(spark, f"{folder}/{name}").collect()]
+        assert sorted(spark.read.text(path).count() for path in files if path.endswith(".gz")) == [5, 10, 10, 10]
+    assert sorted(r.value for r in spark.read.text(f"{folder}/lines").collect()) == sorted(_messages(0, 35))
+
+
+def test_compressed_landing_reaches_silver_and_compacted_rejects(spark, folder):
+    plain, packed = Landing(f"{folder}/plain"), Landing(f"{folder}/packed", compression="gzip")
+    batch = spark.createDataFrame([(m,) for m in _messages(0, 35)], "value string").repartition(3)
+    for landing in (plain, packed):
+        route_batch(batch, 0, landing)
+    assert list_files(spark, packed.root, "*.json").count() == 0 < list_files(spark, packed.root, "*.json.gz").count()
+    rows = [sorted(spark.read.schema(REVIEW_SCHEMA).json(l.bronze).collect(), key=str) for l in (plain, packed)]
+    assert rows[0] == rows[1]
+    rejects = sorted(r.raw_json for r in read_dlq(spark, plain.dlq).collect())
+    assert compact_dlq(spark, packed.dlq, f"{folder}/all", compression="gzip") > 0
+    assert sorted(r.raw_json for r in read_dlq(spark, packed.dlq, f"{folder}/all").collect()) == rejects
+    assert list_files(spark, packed.dlq, "*.json*").count() == 0

@@ -116,7 +116,7 @@ def record_lookup(spark, sf_dir):
     def read(files: list[str]) -> DataFrame:
         return parse_reviews(spark.read.text(files), fields=[*CHECKED, "orderID"])
 
-    update_index(spark, index, folder, read, pattern="*.txt")
+    update_index(spark, index, folder, read, pattern="*.txt*")
     files = candidate_files(ids, read_index(spark, index))
     # Without any such file the schema alone is needed.
     rows = read(files) if files else parse_reviews(spark.createDataFrame([], "value string"), fields=[*CHECKED, "orderID"])
