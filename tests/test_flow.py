@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from reviewflow import session
 from reviewflow.operators.maintain import (
     archive_session, clear_dlq, compact_dlq, compact_fragmented, compact_table, compact_text, expired_files, file_plan,
-    list_sessions, live_files, merge_loads, read_session,
+    file_ranges, list_sessions, live_files, merge_loads, read_session,
 )
 from reviewflow.operators.rollup import flatten_bronze_log, rollup_bronze
 from reviewflow.operators.routing import parse_reviews, route
@@ -24,6 +24,7 @@ from reviewflow.streaming.progress import ProgressLog, read_progress
 from reviewflow.streaming.router import Landing, read_batch_log, read_speed_layer, route_batch, start_router
 from reviewflow.streaming.silence import silences
 from reviewflow.streaming.silver import read_silver, start_silver
+from workload import flow_queries
 
 ONCE = {"availableNow": True}
 
@@ -445,3 +446,24 @@ def test_compressed_landing_reaches_silver_and_compacted_rejects(spark, folder):
     assert compact_dlq(spark, packed.dlq, f"{folder}/all", compression="gzip") > 0
     assert sorted(r.raw_json for r in read_dlq(spark, packed.dlq, f"{folder}/all").collect()) == rejects
     assert list_files(spark, packed.dlq, "*.json*").count() == 0
+
+
+def test_small_values_share_compacting_tasks_by_size(spark):
+    rows = [(f"v{i:03}", 60 if i % 2 else 1, 1, 1) for i in range(40)] + [("big", 350, 9, 4)]
+    plan = spark.createDataFrame(rows, "folder string, bytes bigint, files int, wanted int")
+    ranges, tasks = file_ranges(plan, 2, target_bytes=100)
+    first = {r.folder: r._from for r in ranges.collect()}
+    assert first["big"] == 0 and min(v for k, v in first.items() if k != "big") >= 4 and max(first.values()) < tasks
+    loads_of = {}
+    for name, size, _, wanted in rows:
+        if wanted == 1:
+            loads_of[first[name]] = loads_of.get(first[name], 0) + size
+    assert max(loads_of.values()) <= 50 + 60
+
+
+def test_large_sources_get_more_tasks(spark, folder, monkeypatch):
+    spark.range(2000).coalesce(1).write.parquet(f"{folder}/t")
+    assert flow_queries.tasks_for(spark, f"{folder}/t") == spark.sparkContext.defaultParallelism
+    monkeypatch.setattr(flow_queries, "TASK_BYTES", 100)
+    size = sum(r.bytes for r in list_files(spark, f"{folder}/t").collect())
+    assert flow_queries.tasks_for(spark, f"{folder}/t") == -(-size // 100) > spark.sparkContext.defaultParallelism
