@@ -24,7 +24,7 @@ class ProgressLog(StreamingQueryListener):
         self._spark, self._path, self._query = spark, path, query
         self._written = threading.Semaphore(0)
 
-    def wait(self, records: int, seconds: float = 30.0) -> bool:
+    def wait(self, records: int, seconds: float = 120.0) -> bool:
         """Block until ``records`` progress records are on disk."""
         return all(self._written.acquire(timeout=seconds) for _ in range(records))
 
