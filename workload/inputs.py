@@ -162,7 +162,7 @@ def staged_folder(spark: SparkSession, sf_dir: str, label: str, write) -> str:
     return path
 
 
-# Messages are some fifty times as large as the Parquet rows they are made of, so their files are compressed.
+# Messages are some thirty times as large as the Parquet tables they are made of, so their files are compressed.
 COMPRESSION = "gzip"
 
 
