@@ -16,7 +16,6 @@ import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from reviewflow.plans import dims
 from reviewflow.plans.staging import stage_reviews
@@ -27,17 +26,11 @@ from reviewflow.sources.loads import base_loads, live_loads, read_loads
 KEEP = 2
 
 
-def merge_users(rows: DataFrame) -> DataFrame:
-    return rows.groupBy("user_id").agg(
-        F.max("user_name").alias("user_name"), F.sum("total_reviews_written").alias("total_reviews_written"),
-        F.min("first_review_date").alias("first_review_date"), F.max("last_review_date").alias("last_review_date"))
-
-
 # Table -> (aggregate of staged rows, aggregate of such aggregates).
 STATES: dict[str, tuple[Callable[[DataFrame], DataFrame], Callable[[DataFrame], DataFrame]]] = {
     "current_products": (dims.current_products, dims.current_products),
     "current_stores": (dims.current_stores, dims.current_stores),
-    "dim_users": (dims.dim_users, merge_users),
+    "dim_users": (dims.dim_users, dims.merge_users),
     "dim_payments": (dims.dim_payments, dims.dim_payments),
     "dim_date": (dims.dim_date, DataFrame.distinct),
 }

@@ -80,12 +80,16 @@ STATE_FIELDS = [
 def states_after_loads(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """Four loads reach silver one after another; the states follow each."""
     silver, root = new_path(spark, "loads"), new_path(spark, "states")
-    rows = materialize(with_review_date(reviews(spark, sf_dir, STATE_FIELDS)).withColumn("month", F.date_format("review_date", "yyyy-MM")), "by-load")
-    states, seen = {}, F.lit(False)
-    for number, day in enumerate([*LOAD_DATES, None]):
-        part = ~seen if day is None else F.coalesce(F.col("review_date") <= day, F.lit(False)) & ~seen
-        append_load(rows.where(part), silver, f"run-{number}", "month")
-        seen = seen | part
+    loaded = F.lit(len(LOAD_DATES))
+    for number, day in reversed(list(enumerate(LOAD_DATES))):
+        loaded = F.when(F.col("review_date") <= day, number).otherwise(loaded)
+    rows = with_review_date(reviews(spark, sf_dir, STATE_FIELDS)).withColumn("month", F.date_format("review_date", "yyyy-MM"))
+    # A folder for each load, so that none reads the rows of the others.
+    rows = materialize(rows.withColumn("loaded", loaded), "by-load", ["loaded"])
+    states = {}
+    for number in range(len(LOAD_DATES) + 1):
+        part = rows.where(F.col("loaded") == number).drop("loaded")
+        append_load(part, silver, f"run-{number}", "month")
         states = refresh_states(spark, silver, root)
     return states
 
