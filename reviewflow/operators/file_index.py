@@ -30,7 +30,9 @@ def own_path() -> Column:
 
 def file_filters(rows: DataFrame, keys: list[str] | None = None, blocks: int = BLOCKS) -> DataFrame:
     """(path, block, word) of the files that ``rows`` are read from; a file without ids has one empty word."""
-    return filters_of(rows.select(own_path().alias("path"), F.explode(F.array(*(keys or TRACE_KEYS))).alias("id")), blocks)
+    # The path first: beside the explode it would be made for each id.
+    ids = rows.select(own_path().alias("path"), F.array(*(keys or TRACE_KEYS)).alias("ids"))
+    return filters_of(ids.select("path", F.explode("ids").alias("id")), blocks)
 
 
 def filters_of(ids: DataFrame, blocks: int = BLOCKS) -> DataFrame:

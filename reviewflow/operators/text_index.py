@@ -23,6 +23,8 @@ from reviewflow.operators.file_index import filters_of, new_files, own_path, rea
 # Words of a file's filter: 128 KB, for some 100,000 different trigrams a file.
 BLOCKS = 1 << 14
 LENGTH = 3
+# A substring is looked for from the start of its text, so long texts are cut into pieces of this many places first.
+PIECE = 256
 # An expression whose branches multiply to more than this keeps what is known outside of them.
 MOST_BRANCHES = 16
 
@@ -128,19 +130,25 @@ def _quantifier(keyword: str, at: int) -> tuple[int, int]:
     return at + (keyword[at:at + 1] in ("?", "+")), least
 
 
-def trigrams(text: Column) -> Column:
-    """All three letters in a row, A-Z in lower case; the last two entries are NULL."""
-    letters = F.split(F.translate(text, ascii_uppercase, ascii_lowercase), "")
-    count = F.greatest(F.size(letters), F.lit(1))
-    pairs = F.zip_with(letters, F.slice(letters, 2, count), lambda left, right: F.concat(left, right))
-    return F.zip_with(pairs, F.slice(letters, 3, count), lambda left, right: F.concat(left, right))
+def trigrams(texts: DataFrame) -> DataFrame:
+    """All three letters in a row of ``text``, A-Z in lower case, as ``id`` beside the other columns; NULL where there are none.
+
+    A row for each place and plain substrings: lambdas over arrays of letters are interpreted and took ten times as long.
+    """
+    rest = [name for name in texts.columns if name != "text"]
+    lower = texts.withColumn("text", F.translate("text", ascii_uppercase, ascii_lowercase))
+    for step, length in ((PIECE, PIECE + LENGTH - 1), (1, LENGTH)):
+        last = F.greatest(F.length("text") - LENGTH + 1, F.lit(1))
+        placed = lower.select(*rest, "text", F.explode_outer(F.sequence(F.lit(1), last, F.lit(step))).alias("place"))
+        lower = placed.select(*rest, F.substring("text", F.col("place"), F.lit(length)).alias("text"))
+    return lower.select(*rest, F.when(F.length("text") == LENGTH, F.col("text")).alias("id"))
 
 
 def text_filters(rows: DataFrame, string_only: bool = False, null_text: str | None = None, blocks: int = BLOCKS) -> DataFrame:
     """(path, block, word) of the files that ``rows`` are read from; a file without text has one empty word."""
     text = row_text(rows, string_only, null_text)
-    every = F.array_distinct(trigrams(F.lit(None).cast("string") if text is None else text))
-    return filters_of(rows.select(own_path().alias("path"), F.explode_outer(every).alias("id")), blocks)
+    texts = rows.select(own_path().alias("path"), (F.lit(None).cast("string") if text is None else text).alias("text"))
+    return filters_of(trigrams(texts), blocks)
 
 
 def update_text_index(spark: SparkSession, index: str, folder: str, read: Callable[[list[str]], DataFrame],

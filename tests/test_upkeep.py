@@ -12,7 +12,7 @@ from reviewflow.operators import file_index, text_index
 from reviewflow.operators.maintain import merge_loads
 from reviewflow.operators.row_reconcile import differing_cells, fingerprints, merge_fingerprints, reconcile_rows, rows_of_cells
 from reviewflow.operators.trace import trace_records
-from reviewflow.plans import state
+from reviewflow.plans import dims, state
 from reviewflow.plans.staging import stage_reviews, with_review_date
 from reviewflow.schema import REVIEW_SCHEMA
 from reviewflow.sources.loads import append_load, live_loads, read_loads
@@ -229,3 +229,36 @@ def test_text_index_reads_few_files_and_finds_all(spark, folder):
     # The smallest filters let more through, but hide nothing.
     tiny = text_index.text_filters(spark.read.parquet(data), blocks=2)
     assert len(text_index.matching_files(tiny, "bravo 2", blocks=2)) >= 1
+
+
+def test_trigrams_of_short_and_long_texts(spark, monkeypatch):
+    texts = [None, "", "ab", "abc", "aBcD", "x" * 3 + "\U0001f600yz", "".join(chr(97 + (i * i) % 26) for i in range(700))]
+    frame = spark.createDataFrame(list(enumerate(texts)), "n int, text string")
+    for piece in (text_index.PIECE, 2):
+        monkeypatch.setattr(text_index, "PIECE", piece)
+        found = {n: set() for n in range(len(texts))}
+        for row in text_index.trigrams(frame).collect():
+            found[row.n].add(row.id)
+        for n, text in enumerate(texts):
+            lower = (text or "").lower()
+            assert found[n] == ({lower[i:i + 3] for i in range(len(lower) - 2)} or {None})
+
+
+def test_the_path_is_made_once_a_row(spark, folder):
+    spark.range(10).selectExpr("cast(id AS string) AS reviewerID", "'x' AS asin").write.parquet(folder + "/t")
+    rows = spark.read.parquet(folder + "/t")
+    for made in (file_index.file_filters(rows), text_index.text_filters(rows)):
+        plan = made._jdf.queryExecution().optimizedPlan().toString()
+        # Below the lowest explode, so not repeated for each of its rows.
+        assert plan.rindex("Generate explode") < plan.index("input_file_name") and plan.count("input_file_name") == 1
+
+
+def test_users_with_several_names(spark):
+    rows = [("u", None, "r", "2024-01-02"), ("u", "b", None, "2024-01-01"), ("u", "a", "r", None), ("v", None, None, None), (None, "x", "r", "2024-01-01")]
+    frame = spark.createDataFrame(rows, "user_id string, user_name string, review_id string, date_id string")
+    found = dims.dim_users(frame.withColumn("date_id", F.col("date_id").cast("date"))).withColumns({
+        name: F.col(name).cast("string") for name in ("first_review_date", "last_review_date")})
+    assert sorted(map(tuple, found.collect())) == [("u", "b", 2, "2024-01-01", "2024-01-02"), ("v", None, 0, None, None)]
+    # The largest of text is taken of rows that were made few without a sort.
+    plan = found._jdf.queryExecution().sparkPlan().toString()
+    assert "HashAggregate" in plan[plan.rindex("SortAggregate"):]
