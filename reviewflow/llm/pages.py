@@ -15,7 +15,9 @@ import re
 from bisect import bisect_left
 from collections import Counter
 from collections.abc import Generator, Iterator
+from math import isqrt
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -32,7 +34,7 @@ CONSTANT_SHARE = 0.9
 LEAST_PAGES = 5
 # Of an article, template nodes are removed only up to this share of its text: beyond, the pages are copies of each other.
 MOST_TEMPLATE = 0.5
-# Larger sibling lists are aligned by runs of siblings of one shape.
+# Larger sibling lists get the same alignment without their whole table in memory.
 CELLS = 40_000
 # While pages are folded, nodes and texts on at most this share of the pages so far are forgotten. What may have been
 # forgotten is added where a node is judged, so none with CONSTANT_SHARE is missed; one with less than that by this may pass.
@@ -283,22 +285,8 @@ def _match(left: list[Node], right: list[Node], memo: dict) -> Generator:
     pairs = [(k, k) for k in range(start)]
     rows, columns = left[start:len(left) - end], right[start:len(right) - end]
     if rows and columns:
-        if len(rows) * len(columns) <= CELLS:
-            found = yield _dynamic([[r] for r in rows], [[c] for c in columns], memo)
-            pairs += [(start + i, start + j) for i, j in found]
-        else:
-            runs, other = _runs(rows), _runs(columns)
-            first, second = [0], [0]
-            for run in runs:
-                first.append(first[-1] + len(run))
-            for run in other:
-                second.append(second[-1] + len(run))
-            if len(runs) * len(other) <= 4 * CELLS:
-                found = yield _dynamic(runs, other, memo)
-            else:
-                found = zip(range(len(runs)), range(len(other)))
-            for i, j in found:
-                pairs += [(start + first[i] + k, start + second[j] + k) for k in range(min(len(runs[i]), len(other[j])))]
+        found = yield (_dynamic if len(rows) * len(columns) <= CELLS else _dynamic_in_blocks)(rows, columns, memo)
+        pairs += [(start + i, start + j) for i, j in found]
     pairs += [(len(left) - 1 - k, len(right) - 1 - k) for k in range(end - 1, -1, -1)]
     return pairs
 
@@ -340,26 +328,15 @@ def _pairs(left: list[Node], right: list[Node], memo: dict) -> list[tuple[int, i
     return pairs
 
 
-def _runs(nodes: list[Node]) -> list[list[Node]]:
-    runs: list[list[Node]] = []
-    for node in nodes:
-        if runs and runs[-1][0].shape == node.shape:
-            runs[-1].append(node)
-        else:
-            runs.append([node])
-    return runs
-
-
-def _dynamic(rows: list[list[Node]], columns: list[list[Node]], memo: dict) -> Generator:
+def _dynamic(rows: list[Node], columns: list[Node], memo: dict) -> Generator:
     table = [[0] * (len(columns) + 1) for _ in range(len(rows) + 1)]
     for i, row in enumerate(rows):
         above, here = table[i], table[i + 1]
         for j, column in enumerate(columns):
-            weight = _known_weight(row[0], column[0], memo)
+            weight = _known_weight(row, column, memo)
             if weight is None:
-                weight = yield _weight(row[0], column[0], memo)
-            both = above[j] + min(len(row), len(column)) * weight
-            here[j + 1] = max(both, above[j + 1], here[j])
+                weight = yield _weight(row, column, memo)
+            here[j + 1] = max(above[j] + weight, above[j + 1], here[j])
     pairs, i, j = [], len(rows), len(columns)
     while i and j:
         if table[i][j] == table[i - 1][j]:
@@ -372,6 +349,53 @@ def _dynamic(rows: list[list[Node]], columns: list[list[Node]], memo: dict) -> G
     return pairs[::-1]
 
 
+def _dynamic_in_blocks(rows: list[Node], columns: list[Node], memo: dict) -> Generator:
+    """The pairs that ``_dynamic`` finds, a row of its table at a time; of all rows about the root is kept, and those between
+    are made again on the way back."""
+    heads = {node.shape: node for node in columns}
+    place = {kind: at for at, kind in enumerate(heads)}
+    which = np.array([place[node.shape] for node in columns])
+    gains: dict[int, np.ndarray] = {}
+    for row in rows:
+        if row.shape in gains:
+            continue
+        gain = np.zeros(len(heads), np.int32)
+        for at, column in enumerate(heads.values()):
+            weight = _known_weight(row, column, memo)
+            if weight is None:
+                weight = yield _weight(row, column, memo)
+            gain[at] = weight
+        gains[row.shape] = gain
+
+    def below(above: np.ndarray, row: Node) -> np.ndarray:
+        here = np.zeros_like(above)
+        np.maximum.accumulate(np.maximum(above[:-1] + gains[row.shape][which], above[1:]), out=here[1:])
+        return here
+
+    step = max(1, isqrt(len(rows)))
+    kept, line = [], np.zeros(len(columns) + 1, np.int32)
+    for i, row in enumerate(rows):
+        if i % step == 0:
+            kept.append(line)
+        line = below(line, row)
+    pairs, j = [], len(columns)
+    for block in range(len(kept) - 1, -1, -1):
+        first = block * step
+        table = [kept.pop()]
+        for row in rows[first:first + step]:
+            table.append(below(table[-1], row))
+        i = len(table) - 1
+        while i and j:
+            if table[i][j] == table[i - 1][j]:
+                i -= 1
+            elif table[i][j] == table[i][j - 1]:
+                j -= 1
+            else:
+                i, j = i - 1, j - 1
+                pairs.append((first + i, j))
+    return pairs[::-1]
+
+
 def align(a: Node, b: Node, memo: dict) -> Iterator[tuple[Node, Node]]:
     """Nodes of both trees that simple tree matching puts together."""
     waiting = [(a, b)]

@@ -560,6 +560,29 @@ def test_tree_matching_against_plain_recursion():
         assert pages._solve(pages._weight(one, two, {})) == best(one, two)
 
 
+def test_tree_matching_of_long_lists_is_the_same():
+    rng = random.Random(5)
+
+    def siblings(n):
+        nodes = [pages.Node(rng.choice("ab")) for _ in range(n)]
+        for node in nodes:
+            node.children = [pages.Node(rng.choice("cd")) for _ in range(rng.randint(0, 2))]
+        return nodes
+
+    for n, m in [(1, 1), (1, 30), (30, 1), (17, 40), (40, 17), (60, 60)] * 3:
+        left, right, known = siblings(n), siblings(m), {}
+        for node in (*left, *right):
+            pages.shape(node, known)
+        assert pages._solve(pages._dynamic_in_blocks(left, right, {})) == pages._solve(pages._dynamic(left, right, {}))
+    # Lists beyond CELLS: dropped siblings, which alignment by runs of like siblings lost more for.
+    left, right, known = siblings(260), siblings(260), {}
+    for node in (*left, *right):
+        pages.shape(node, known)
+    assert len(left) * len(right) > pages.CELLS
+    weigh = lambda pairs, memo: sum(pages._solve(pages._weight(left[i], right[j], memo)) for i, j in pairs if left[i].tag == right[j].tag)
+    assert weigh(pages._solve(pages._match(left, right, {})), {}) == weigh(pages._solve(pages._dynamic(left, right, {})), {})
+
+
 def test_empty_tables(spark, empty):
     labels = spark.createDataFrame([], "doc_id long, toxic int")
     web = spark.createDataFrame([], "page_id long, url string, html string")
