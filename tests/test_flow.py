@@ -467,3 +467,22 @@ def test_large_sources_get_more_tasks(spark, folder, monkeypatch):
     monkeypatch.setattr(flow_queries, "TASK_BYTES", 100)
     size = sum(r.bytes for r in list_files(spark, f"{folder}/t").collect())
     assert flow_queries.tasks_for(spark, f"{folder}/t") == -(-size // 100) > spark.sparkContext.defaultParallelism
+
+
+def test_columns_kept_beside_parsed_fields(spark):
+    lines = spark.createDataFrame([(1, '{"asin": "a", "overall": 2}'), (2, "not json {}")], "n int, value string")
+    rows = parse_reviews(lines, fields=["asin"], keep=("n", F.length("value").alias("size")))
+    assert rows.columns == ["asin", "raw_json", "n", "size"]
+    assert sorted((r.n, r.asin, r.size) for r in rows.collect()) == [(1, "a", 27), (2, None, 11)]
+
+
+def test_loads_of_silver_do_not_grow_with_the_files(spark, folder, monkeypatch):
+    """Forty bronze files are taken in about as few loads as eight."""
+    taken = []
+    monkeypatch.setattr(flow_queries, "start_silver", lambda *args, **options: taken.append(options["max_files"]) or start_silver(*args, **options))
+    monkeypatch.setattr(flow_queries, "reviews", lambda spark, sf_dir, fields: spark.range(0, 4000, 1, 40).selectExpr(
+        "'u' || id AS reviewerID", "'a' AS asin", "3.0D AS overall", "id * 86400 AS unixReviewTime", "'o' || id AS orderID", "'s' AS storeID",
+        "1 AS quantity", "1.5D AS totalAmount"))
+    monkeypatch.setattr(flow_queries, "route_batch", lambda lines, *args: route_batch(lines.repartition(24), *args))
+    assert flow_queries.silver_optimize(spark, folder).count() == 4000
+    assert [-(-files // most) <= 8 for files, most in zip((48, 48, 72), taken)] == [True] * 3
