@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import gc
 import re
 from collections.abc import Iterator
 
@@ -11,7 +10,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from reviewflow.session import materialize
+from reviewflow.session import let_go, materialize
 
 # Stands in for a null id where ids are compared or joined; sorts before all others.
 NO_ID = -(1 << 63)
@@ -60,11 +59,9 @@ def numbered(docs: DataFrame) -> tuple[DataFrame, str]:
     other frame is written once.
 
     This is where a stage over a whole table starts, so what earlier stages
-    shuffled and nothing refers to any more is let go: Spark deletes the files
-    of a shuffle when the driver's garbage collectors find that.
+    shuffled and nothing refers to any more is let go.
     """
-    gc.collect()
-    docs.sparkSession.sparkContext._jvm.System.gc()
+    let_go(docs.sparkSession)
     name, = new_names(docs, "row")
     placed = _place_in_files(docs, name)
     if placed is None:

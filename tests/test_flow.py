@@ -1,10 +1,12 @@
 import json
 import time
+from contextlib import contextmanager
 
 import pytest
 from pyspark.sql import functions as F
 
 from reviewflow import session
+from reviewflow.operators import maintain
 from reviewflow.operators.maintain import (
     archive_session, clear_dlq, compact_dlq, compact_fragmented, compact_table, compact_text, expired_files, file_plan,
     file_ranges, list_sessions, live_files, merge_loads, read_session,
@@ -21,10 +23,11 @@ from reviewflow.sources.sinks import export_sample, write_json
 from reviewflow.streaming.metrics import finish, read_latest, start_metric_upserts
 from reviewflow.streaming.once import first_deliveries, with_arrival
 from reviewflow.streaming.progress import ProgressLog, read_progress
+from reviewflow.streaming import router
 from reviewflow.streaming.router import Landing, read_batch_log, read_speed_layer, route_batch, start_router
 from reviewflow.streaming.silence import silences
 from reviewflow.streaming.silver import read_silver, start_silver
-from workload import flow_queries
+from workload import flow_queries, inputs
 
 ONCE = {"availableNow": True}
 
@@ -276,6 +279,78 @@ def test_text_compaction_keeps_every_line(spark, folder):
     assert list_files(spark, f"{folder}/big", "*.txt").count() <= 3
 
 
+@pytest.mark.parametrize("compression", [None, "gzip"])
+def test_text_compaction_shuffles_nothing(spark, folder, monkeypatch, compression):
+    plans = []
+
+    def write(lines, *args):
+        plans.append(lines._jdf.queryExecution().executedPlan().toString())
+        sinks.write_lines(lines, *args)
+
+    monkeypatch.setattr(maintain, "write_lines", write)
+    rows = [(f"line {i % 50}",) for i in range(400)]
+    sinks.write_lines(spark.createDataFrame(rows, "value string").repartition(12), f"{folder}/small", compression=compression)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    files = compact_text(spark, f"{folder}/small", f"{folder}/big", 2000, compression=compression)
+    assert len(plans) == 1 and "Exchange" not in plans[0]
+    assert spark.conf.get("spark.sql.files.maxPartitionBytes") == before
+    assert sorted(r.value for r in spark.read.text(f"{folder}/big").collect()) == sorted(r[0] for r in rows)
+    assert 1 < list_files(spark, f"{folder}/big", "*.txt*").count() <= files
+
+
+def _tables(spark, path):
+    tables = {
+        "region": [(0, "here")], "nation": [(0, "land", 0), (1, "nowhere", None)], "supplier": [(1, "s1", 0), (2, "s2", 1)],
+        "customer": [(1, "c\n1"), (2, None)], "part": [(1, "thing", "BIG", "B1", 2.5), (2, "other \"one\"", "SMALL", "B2", None)],
+        "orders": [(i, i % 3, "O", "1-URGENT") for i in range(1, 60)],
+        "lineitem": [(i, i % 4, i % 3, j, 3.0, 10.5, "R", "F", f"2001-02-{i % 28 + 1:02} 00:00:00") for i in range(1, 60) for j in (1, 2)]}
+    columns = {
+        "region": "r_regionkey long, r_name string", "nation": "n_nationkey long, n_name string, n_regionkey long",
+        "supplier": "s_suppkey long, s_name string, s_nationkey long", "customer": "c_custkey long, c_name string",
+        "part": "p_partkey long, p_name string, p_type string, p_brand string, p_retailprice double",
+        "orders": "o_orderkey long, o_custkey long, o_orderstatus string, o_orderpriority string",
+        "lineitem": "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double, "
+                    "l_returnflag string, l_linestatus string, l_shipdate string"}
+    for name, rows in tables.items():
+        df = spark.createDataFrame(rows, columns[name])
+        if name == "lineitem":
+            df = df.withColumn("l_shipdate", F.expr("CAST(l_shipdate AS TIMESTAMP_NTZ)"))
+        df.coalesce(1).write.parquet(f"{path}/{name}.parquet")
+
+
+def test_batches_of_messages_are_not_staged(spark, folder):
+    """The lines of a batch are those of the files, before a stream has needed files and after."""
+    _tables(spark, folder)
+    staged = inputs._staged_path(spark, folder, "messages")
+    lines, parsed = inputs.messages(spark, folder), flow_queries.dlq_cleared(spark, folder).collect()
+    first = sorted(r.value for r in lines.collect())
+    assert not folders.exists(spark, staged)
+    assert sorted(r.value for r in spark.read.text(inputs.message_folder(spark, folder)).collect()) == first
+    assert len(first) == 118 and any(line.startswith("not json ") for line in first)
+    assert folders.exists(spark, staged) and inputs.messages(spark, folder).inputFiles()
+    assert sorted(r.value for r in inputs.messages(spark, folder).collect()) == first
+    assert sorted(map(str, flow_queries.dlq_cleared(spark, folder).collect())) == sorted(map(str, parsed))
+
+
+def test_batches_are_routed_without_a_sort(spark, folder, monkeypatch):
+    writers = []
+    publish = router.publish
+
+    @contextmanager
+    def unsorted_writes(session):
+        with sinks.unsorted_writes(session):
+            yield
+            writers.append(int(session.conf.get("spark.sql.maxConcurrentOutputFileWriters")))
+
+    monkeypatch.setattr(router, "unsorted_writes", unsorted_writes)
+    monkeypatch.setattr(router, "publish", lambda *args: writers.append("published") or publish(*args))
+    batch = spark.createDataFrame([(m,) for m in _messages(0, 35)], "value string").coalesce(1)
+    landing = Landing(f"{folder}/landing", compression="gzip")
+    assert route_batch(batch, 0, landing)["valid_records"] == 30
+    assert writers[0] >= 2 and "published" in writers and spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == "0"
+    assert spark.read.schema(REVIEW_SCHEMA).json(landing.bronze).count() == 30 and read_dlq(spark, landing.dlq).count() == 5
+
+
 def test_dlq_compaction_moves_batches_once(spark, folder):
     dlq, target = f"{folder}/dlq", f"{folder}/all"
     _, rejected = route(parse_reviews(spark.createDataFrame([("x",), ("y",), ("z",)], "value string")))

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reviewflow.schema import REVIEW_SCHEMA
-from reviewflow.session import shared_folder
+from reviewflow.session import let_go, shared_folder
 from reviewflow.sources.folders import exists
 from reviewflow.sources.sinks import write_lines
 
@@ -160,16 +160,22 @@ parsed AS (
 )"""
 
 
+def _staged_path(spark: SparkSession, sf_dir: str, label: str) -> str:
+    app = spark.sparkContext.applicationId
+    of = hashlib.md5(sf_dir.encode()).hexdigest()[:10]
+    return f"{shared_folder(spark)}/reviewflow/{app}/input-{of}/{label}"
+
+
 def staged_folder(spark: SparkSession, sf_dir: str, label: str, write) -> str:
     """Folder with an input that a file source must find on disk.
 
-    Written once per application and shared by the queries that read it.
+    Written once per application and shared by the queries that read it. What
+    was shuffled to write it is let go.
     """
-    app = spark.sparkContext.applicationId
-    of = hashlib.md5(sf_dir.encode()).hexdigest()[:10]
-    path = f"{shared_folder(spark)}/reviewflow/{app}/input-{of}/{label}"
+    path = _staged_path(spark, sf_dir, label)
     if not exists(spark, f"{path}/_SUCCESS"):
         write(path)
+        let_go(spark)
     return path
 
 
@@ -177,22 +183,31 @@ def staged_folder(spark: SparkSession, sf_dir: str, label: str, write) -> str:
 COMPRESSION = "gzip"
 
 
-def message_folder(spark: SparkSession, sf_dir: str) -> str:
-    """Message lines on disk: the reviews as JSON, some of them unreadable."""
+def _message_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The reviews as JSON, some of them unreadable."""
+    event = F.to_json(F.struct(*[_field(name) for name in FIELDS]))
+    broken = F.expr("(l_orderkey + l_suppkey) % 53 = 0")
+    return _joined(spark, sf_dir, set(_JOINS)).select(
+        F.when(broken, F.concat(F.lit("not json "), event)).otherwise(event).alias("value"))
 
-    def write(path: str) -> None:
-        event = F.to_json(F.struct(*[_field(name) for name in FIELDS]))
-        broken = F.expr("(l_orderkey + l_suppkey) % 53 = 0")
-        lines = _joined(spark, sf_dir, set(_JOINS)).select(
-            F.when(broken, F.concat(F.lit("not json "), event)).otherwise(event).alias("value"))
-        write_lines(lines, path, compression=COMPRESSION)
 
-    return staged_folder(spark, sf_dir, "messages", write)
+def message_folder(spark: SparkSession, sf_dir: str) -> str:
+    """Message lines on disk, for streams and whatever else needs files."""
+    return staged_folder(
+        spark, sf_dir, "messages", lambda path: write_lines(_message_lines(spark, sf_dir), path, compression=COMPRESSION))
 
 
 def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The message lines as a batch."""
-    return spark.read.text(message_folder(spark, sf_dir))
+    """The message lines as a batch.
+
+    They are three times as large on disk as their tables even compressed, so a batch does not stage them: it reads the files
+    if a stream has needed them before, else it makes the same lines as it goes.
+    """
+    path = _staged_path(spark, sf_dir, "messages")
+    if exists(spark, f"{path}/_SUCCESS"):
+        return spark.read.text(path)
+    let_go(spark)
+    return _message_lines(spark, sf_dir)
 
 
 def bronze_log(spark: SparkSession, sf_dir: str) -> DataFrame:
