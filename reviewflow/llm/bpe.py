@@ -6,7 +6,7 @@ joined, the leftmost first, until no pair has a rank. Pieces repeat, so only
 distinct ones are encoded.
 
 The most frequent distinct words are encoded by Spark's higher-order functions,
-as a fold over their bytes with the ranks as a literal; the README tells why
+as a fold over their bytes with the ranks as a scalar subquery; the README tells why
 the others are not. Those are encoded by the same merges in numpy, all distinct
 words of a block of text at once.
 """
@@ -15,7 +15,6 @@ from __future__ import annotations
 
 import base64
 import heapq
-import json
 import unicodedata
 import zlib
 from collections.abc import Iterator
@@ -26,13 +25,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reviewflow.llm.tables import saved
+from reviewflow.session import let_go
 from reviewflow.llm.text import chunks, layout, text_column, word_codes
 
 # Distinct words whose encoding is folded in Spark and sent to all tasks (about 0.5 MB).
 FOLDED_WORDS = 1 << 14
 # Longer pieces (in bytes) are merged one at a time, with a heap.
 WIDEST = 64
-# The literal has the ranks in so many small maps, by a hash of the token: Spark searches a map from its start.
+# The ranks are in so many small maps, by a hash of the token: Spark searches a map from its start.
 RANK_MAPS = 1 << 16
 NO_RANK = 1 << 30
 HELD_WORDS = 60_000
@@ -244,8 +244,9 @@ def fold_words(words: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
     for token, rank in ranks.items():
         name = token.hex().upper()
         maps[zlib.crc32(name.encode()) % RANK_MAPS][name] = rank
-    table = words.sparkSession.range(1).select(
-        F.from_json(F.lit(json.dumps(maps, separators=(",", ":"))), "array<map<string,int>>").alias("ranks"))
+    # One row that the plan only refers to: as a literal, megabytes would stand in each text of a plan that the driver keeps.
+    one = pa.array([[list(ranks_of.items()) for ranks_of in maps]], pa.list_(pa.map_(pa.string(), pa.int32())))
+    table = words.sparkSession.createDataFrame(pa.table({"ranks": one}))
     rows = words.select("word", F.hex("word").alias("letters"), table.scalar().alias("ranks"))
 
     def rank(name: str) -> str:
@@ -267,8 +268,10 @@ def fold_words(words: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
 def frequent_words(docs: DataFrame, ranks: dict[bytes, int], classes, limit: int = FOLDED_WORDS) -> dict[bytes, list[int]]:
     """Ids of the most frequent words; bounded by ``limit``."""
     counts = docs.select("text").mapInArrow(_count_words(classes), "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    let_go(docs.sparkSession)
     words = saved(counts.where(f"length(word) BETWEEN 1 AND {WIDEST}").orderBy(F.desc("n"), "word").limit(limit).select("word"), "words")
     found = fold_words(words.repartition("word"), ranks).toArrow()
+    let_go(docs.sparkSession)
     return dict(zip(found.column("word").to_pylist(), found.column("ids").to_pylist()))
 
 

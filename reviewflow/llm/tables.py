@@ -24,8 +24,13 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 
 def saved(df: DataFrame, label: str) -> DataFrame:
-    """Write once to the shared folder and read back: later stages never recompute it, and no lost executor holds it."""
-    return materialize(df, f"llm-{label}")
+    """Write once to the shared folder and read back: later stages never recompute it, and no lost executor holds it.
+
+    What it was made of is let go: shuffles on disk, and plans and their texts, which else fill the driver's heap.
+    """
+    kept = materialize(df, f"llm-{label}")
+    let_go(df.sparkSession)
+    return kept
 
 
 def new_names(df: DataFrame, *names: str) -> list[str]:

@@ -411,6 +411,13 @@ def test_folded_words_equal_merged_words(spark):
     assert found == {w: encoding._encode_single_piece(w) for w in words}
 
 
+def test_ranks_stay_out_of_plan_texts(spark):
+    """The driver keeps the texts of plans, and one for each change of a running plan."""
+    ranks = bpe.load_ranks(public_tokenizers.path(corpus_pipeline.VOCABULARY))
+    folded = bpe.fold_words(spark.createDataFrame([(b" the",)], "word binary"), ranks)
+    assert len(folded._jdf.queryExecution().toString()) < 1_000_000
+
+
 def test_urls(spark):
     addresses = ["http://www.A.example.NET/en/x?q=1#f", "https://example.com/de/", "https://example.com/de", "ftp://b.org/fr/z", "nohost",
                  None, "", "://", "http://", "http://x.y//", "http://bad.com/page/?q", "http://m.bad.com/page?q#frag", "HTTP://É.net?x/en/",
