@@ -22,7 +22,9 @@ many edits in its copies makes, they would be far too many: there each document
 a is taken as its difference A from the hub, the tokens that one of both lacks.
 Two documents differ as their differences do, so similar ones that are not both
 similar to the hub share most of A and B, and must share one of the rarest
-tokens of them. Edits made apart from each other hardly share any.
+tokens of them. Edits made apart from each other hardly share any. Those of the
+hub itself are in all differences, so the hub is the document nearest to what
+most have in common, and tokens of many differences come last.
 """
 
 from __future__ import annotations
@@ -57,6 +59,10 @@ TOKENS_PER_KEY = 20
 BITMAP = 1024
 # Keys with more components than this are joined by differences from their hub; the others by all pairs.
 CROWD = 64
+# What most documents of a crowd have in common is told from so many of them.
+MIDDLE_SAMPLE = 64
+# Parts in which the documents of a crowd meet the tokens of one.
+PARTS = 16
 # Documents seen in a task, so that copies give their keys once.
 SEEN = 1 << 18
 
@@ -269,19 +275,29 @@ def _most_apart(size, percent: int):
     return (size + size * 100 // percent) * (100 - percent) // (100 + percent)
 
 
+def _apart(batch: pa.RecordBatch) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """Hub, size, sorted tokens that either a document or its hub lacks, and the hub's, of each row."""
+    for hub, size, mine, other in zip(*(batch.column(name).to_pylist() for name in ("hub", "size", "tokens", "hub_tokens"))):
+        mine, other = np.frombuffer(mine, np.uint64), np.frombuffer(other, np.uint64)
+        yield hub, size, np.setxor1d(mine, other, assume_unique=True), other
+
+
+def _in_crowd(hub: int, tokens: np.ndarray) -> np.ndarray:
+    """Keys of tokens among the differences from one hub."""
+    return mix(tokens * _STEP + np.uint64(hub))
+
+
 def _differences(percent: int, frequent: np.ndarray, counts: np.ndarray):
     """The first tokens of those that either a document or its hub lacks, a row for each.
 
-    All documents of a hub order them alike: those that the hub lacks come
-    first, of them the rarest.
+    All documents of a hub order them alike: those of the fewest differences
+    come first, of them those that the hub lacks.
     """
     def differences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             tokens, widths = [np.zeros(0, np.uint64)], []
-            for size, mine, other in zip(*(batch.column(name).to_pylist() for name in ("size", "tokens", "hub_tokens"))):
-                mine, other = np.frombuffer(mine, np.uint64), np.frombuffer(other, np.uint64)
-                apart = np.setxor1d(mine, other, assume_unique=True)
-                order = np.lexsort((apart, _rate(apart, frequent, counts), np.isin(apart, other, assume_unique=True)))
+            for hub, size, apart, other in _apart(batch):
+                order = np.lexsort((apart, np.isin(apart, other, assume_unique=True), _rate(_in_crowd(hub, apart), frequent, counts)))
                 tokens.append(apart[order[:_most_apart(size, percent) + 1]])
                 widths.append((len(apart), len(tokens[-1])))
             width, early = np.array(widths, np.int64).reshape(-1, 2).T
@@ -297,17 +313,76 @@ def _differences(percent: int, frequent: np.ndarray, counts: np.ndarray):
     return differences
 
 
+def _count_differences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        keys = [np.zeros(0, np.uint64), *(_in_crowd(hub, apart) for hub, _, apart, _ in _apart(batch))]
+        key, n = np.unique(np.concatenate(keys), return_counts=True)
+        yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(n.astype(np.int64))], ["key", "n"])
+
+
+def _widths(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        width = [len(apart) for _, _, apart, _ in _apart(batch)]
+        yield pa.RecordBatch.from_arrays([batch.column("hub"), batch.column("node"), pa.array(width, pa.int64())], ["hub", "node", "width"])
+
+
+def _middle(sample: pa.Table) -> pa.Table:
+    """The tokens that more than half of the documents have."""
+    sets = [np.frombuffer(tokens, np.uint64) for tokens in sample.column("tokens").to_pylist()]
+    token, n = np.unique(np.concatenate(sets), return_counts=True)
+    return pa.table({"hub": sample.column("hub").slice(0, 1), "hub_tokens": pa.array([token[2 * n > len(sets)].tobytes()], pa.binary())})
+
+
+def _one_of_each(sets: DataFrame) -> DataFrame:
+    return sets.select("node", "tokens", "size").dropDuplicates(["node"])
+
+
+def _beside(members: DataFrame, sets: DataFrame, hubs: DataFrame) -> DataFrame:
+    """The members with their tokens and those of their hub, of ``hubs`` (hub, hub_tokens)."""
+    part = F.pmod(F.xxhash64("node"), F.lit(PARTS)).cast("int").alias("part")
+    parts = hubs.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1))))
+    return members.join(_one_of_each(sets), "node").select("*", part).join(parts, ["hub", "part"])
+
+
+def _hub_tokens(sets: DataFrame, members: DataFrame) -> DataFrame:
+    return _one_of_each(sets).select(F.col("node").alias("hub"), F.col("tokens").alias("hub_tokens")).join(
+        members.select("hub").distinct(), "hub")
+
+
+def centred(members: DataFrame, sets: DataFrame, label: str) -> DataFrame:
+    """The ``members`` (hub, node, component) with the most central one of each crowd as its hub, which is left out.
+
+    That is the one nearest to the tokens that most of a sample have. Crowds
+    that get the same hub become one.
+    """
+    bucket = F.pmod(F.xxhash64("node"), F.lit(MIDDLE_SAMPLE)).alias("bucket")
+    sample = members.groupBy("hub", bucket).agg(F.min("node").alias("node"))
+    middle = sample.join(_one_of_each(sets), "node").select("hub", "tokens").groupBy("hub").applyInArrow(
+        _middle, "hub long, hub_tokens binary")
+    nearest = _beside(members, sets, middle).mapInArrow(_widths, "hub long, node long, width long").groupBy("hub").agg(
+        F.min(F.struct("width", "node")).getField("node").alias("centre"))
+    moved = members.join(nearest, "hub").select(F.col("centre").alias("hub"), "node", "component")
+    return saved(moved.where("node <> hub").distinct(), f"{label}-centred")
+
+
+def difference_counts(members: DataFrame, sets: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """The tokens in most differences from a hub, as sorted keys, and in how many they are; only the most frequent."""
+    counted = _beside(members, sets, _hub_tokens(sets, members)).mapInArrow(_count_differences, "key long, n long").groupBy(
+        "key").agg(F.sum("n").alias("n")).where("n > 1").orderBy(F.desc("n"), "key").limit(FREQUENT_TOKENS).toArrow()
+    keys = counted.column("key").to_numpy().view(np.uint64)
+    order = np.argsort(keys)
+    return keys[order], counted.column("n").to_numpy()[order]
+
+
 def difference_pairs(members: DataFrame, sets: DataFrame, percent: int, label: str, frequent: np.ndarray, counts: np.ndarray) -> DataFrame:
     """Pairs (a, b) of different components, among the ``members`` (hub, node, component) of a hub, that may be similar.
 
     All similar pairs of which not both are similar to the hub are among them.
     |a ^ b| = |A ^ B| must be at most D, so A and B share (|A| + |B| - D) / 2
     tokens or more, and one of them is so early in both, in any common order.
-    ``frequent`` (sorted) and ``counts`` tell which tokens are frequent at all.
+    ``frequent`` and ``counts`` are of ``difference_counts``.
     """
-    node = sets.select("node", "tokens", "size").dropDuplicates(["node"])
-    hub = node.select(F.col("node").alias("hub"), F.col("tokens").alias("hub_tokens"))
-    placed = saved(members.join(node, "node").join(hub, "hub").select(
+    placed = saved(_beside(members, sets, _hub_tokens(sets, members)).select(
         "hub", "node", "component", "size", "tokens", "hub_tokens").mapInArrow(
         _differences(percent, frequent, counts), "hub long, node long, component long, size int, width long, place long, token long"), f"{label}-early")
     # The one with the smaller difference needs the shorter part.
@@ -432,11 +507,12 @@ def similar_groups(docs: DataFrame, n: int = NGRAM, percent: int = PERCENT, row:
     rest = meet.join(one, ["key", "left"]).join(two, ["key", "right"])
     rest = candidates(rest.select(
         F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "key", "a_size", "b_size"), "a_size", "b_size")
-    members = saved(mixed.join(crowds.where(F.col("n") > CROWD).select("key", "hub"), "key").where("node <> hub").select(
+    members = saved(mixed.join(crowds.where(F.col("n") > CROWD).select("key", "hub"), "key").select(
         "hub", "node", "component").distinct(), "members")
     if not members.isEmpty():
-        nodes = members.select("node").union(members.select("hub")).distinct()
-        apart = difference_pairs(members, _token_table(docs, nodes, classes, n, "member-sets"), percent, "members", *rates)
+        member_sets = _token_table(docs, members.select("node").distinct(), classes, n, "member-sets")
+        members = centred(members, member_sets, "members")
+        apart = difference_pairs(members, member_sets, percent, "members", *difference_counts(members, member_sets))
         beside = members.select(F.least("hub", "node").alias("a"), F.greatest("hub", "node").alias("b"))
         rest = rest.union(apart).union(beside).distinct()
     more = check(saved(rest.join(checked, ["a", "b"], "left_anti"), "rest-pairs"), "rest")

@@ -274,6 +274,26 @@ def test_differences_keep_every_similar_pair(spark):
     assert len(want) > 100 and want <= found and len(found) < 4 * len(want) + 200
 
 
+def test_crowd_beside_an_odd_hub_pairs_few(spark):
+    """A hub with many edits of its own puts them into all differences; the most central document does not."""
+    rng = np.random.default_rng(3)
+
+    def edited(tokens, lost):
+        return np.union1d(rng.choice(tokens, len(tokens) - lost, replace=False), rng.choice(2**40, lost, replace=False).astype(np.uint64))
+
+    base = np.sort(rng.choice(2**40, 140, replace=False).astype(np.uint64))
+    rows = [edited(base, 36), edited(base, 2), *(edited(base, rng.integers(17, 30)) for _ in range(200))]
+    rows.append(edited(rows[50], 3))
+    sets = spark.createDataFrame([(k, bytearray(t.tobytes()), len(t)) for k, t in enumerate(rows)], "node long, tokens binary, size int")
+    members = spark.createDataFrame([(0, k, k) for k in range(len(rows))], "hub long, node long, component long")
+    none = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    beside_odd = ngram_join.difference_pairs(members.where("node > 0"), sets, 80, "odd", *none).count()
+    moved = ngram_join.centred(members, sets, "test")
+    assert {(r.hub, r.node) for r in moved.collect()} == {(1, k) for k in range(len(rows)) if k != 1}
+    found = {tuple(row) for row in ngram_join.difference_pairs(moved, sets, 80, "test", *ngram_join.difference_counts(moved, sets)).collect()}
+    assert (50, len(rows) - 1) in found and len(found) < 20 and beside_odd > 100 * len(found)
+
+
 @pytest.mark.parametrize("frequent_share", [0.0, 0.5, 1.0])
 def test_prefixes_of_similar_sets_share_a_key(frequent_share):
     rng = np.random.default_rng(2)
