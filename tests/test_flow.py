@@ -561,3 +561,21 @@ def test_loads_of_silver_do_not_grow_with_the_files(spark, folder, monkeypatch):
     monkeypatch.setattr(flow_queries, "route_batch", lambda lines, *args: route_batch(lines.repartition(24), *args))
     assert flow_queries.silver_optimize(spark, folder).count() == 4000
     assert [-(-files // most) <= 8 for files, most in zip((48, 48, 72), taken)] == [True] * 3
+
+
+def test_passes_are_all_reviews(spark, folder, monkeypatch):
+    """The parts together are all rows, with keys that are NULL, repeat or have another type in the joined table."""
+    _tables(spark, folder)
+    assert inputs.passes(spark, folder) == [(0, 1)]
+    extra = spark.read.parquet(f"{folder}/lineitem.parquet").where("l_orderkey = 7").withColumn("l_orderkey", F.expr("CAST(NULL AS BIGINT)"))
+    extra.union(spark.read.parquet(f"{folder}/lineitem.parquet").where("l_orderkey = 8")).write.mode("append").parquet(f"{folder}/lineitem.parquet")
+    orders = spark.read.parquet(f"{folder}/orders.parquet").withColumn("o_orderkey", F.col("o_orderkey").cast("int"))
+    session.materialize(orders, "orders").write.mode("overwrite").parquet(f"{folder}/orders.parquet")
+    size = list_files(spark, f"{folder}/lineitem.parquet").agg(F.sum("bytes")).first()[0]
+    monkeypatch.setattr(inputs, "PASS_BYTES", -(-size // 3))
+    parts = inputs.passes(spark, folder)
+    assert parts == [(0, 3), (1, 3), (2, 3)]
+    made = [[str(row) for row in inputs.reviews(spark, folder, None, part).collect()] for part in parts]
+    everything = [str(row) for row in inputs.reviews(spark, folder).collect()]
+    assert sorted(row for rows in made for row in rows) == sorted(everything) and len(everything) == 122
+    assert all(0 < len(rows) < 122 for rows in made)
