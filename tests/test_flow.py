@@ -579,3 +579,59 @@ def test_passes_are_all_reviews(spark, folder, monkeypatch):
     everything = [str(row) for row in inputs.reviews(spark, folder).collect()]
     assert sorted(row for rows in made for row in rows) == sorted(everything) and len(everything) == 122
     assert all(0 < len(rows) < 122 for rows in made)
+
+
+@pytest.fixture
+def in_passes(spark, folder, monkeypatch):
+    """Tables that take three passes, and the folder of every query's own files."""
+    _tables(spark, folder)
+    size = list_files(spark, f"{folder}/lineitem.parquet").agg(F.sum("bytes")).first()[0]
+    monkeypatch.setattr(inputs, "PASS_BYTES", -(-size // 3))
+    made = []
+    monkeypatch.setattr(flow_queries, "new_path", lambda spark, label: made.append(session.new_path(spark, label)) or made[-1])
+    return folder, made
+
+
+def _plain_rows(df):
+    return sorted(map(str, df.collect()))
+
+
+def _expected(spark, folder):
+    return route(parse_reviews(inputs.messages(spark, folder)))
+
+
+def test_route_in_passes(spark, in_passes):
+    """Each part of the messages is a batch, and no message file is left."""
+    folder, made = in_passes
+    valid, rejected = _expected(spark, folder)
+    got = flow_queries.stream_route(spark, folder)
+    assert _plain_rows(got.where("route = 'bronze'").select(flow_queries.KEYS)) == _plain_rows(valid.select(flow_queries.KEYS))
+    assert _plain_rows(got.where("route = 'dlq' AND has_raw").select(flow_queries.KEYS)) == _plain_rows(rejected.select(flow_queries.KEYS))
+    assert got.count() == 118 and read_batch_log(spark, f"{made[0]}/log").count() == 3
+    assert not folders.exists(spark, f"{made[0]}/in") and not folders.exists(spark, inputs._staged_path(spark, folder, "messages"))
+
+
+def test_batch_log_in_passes(spark, in_passes):
+    valid, rejected = (rows.count() for rows in _expected(spark, in_passes[0]))
+    assert tuple(flow_queries.stream_batch_log(spark, in_passes[0]).first()) == (118, valid, rejected, True)
+
+
+def test_staged_files_in_passes(spark, in_passes):
+    """Messages and routed files are the same lines, and have their name only when all passes are done."""
+    folder, _ = in_passes
+    lines = _plain_rows(inputs._message_lines(spark, folder))
+    assert _plain_rows(spark.read.text(inputs.message_folder(spark, folder))) == lines
+    rejected = read_dlq(spark, flow_queries.routed_folder(spark, folder, "dlq"))
+    assert _plain_rows(rejected.select(flow_queries.KEYS)) == _plain_rows(_expected(spark, folder)[1].select(flow_queries.KEYS))
+
+    def fails(part, path):
+        inputs.write_lines(inputs._message_lines(spark, folder, part), path, "append")
+        if part[0] == 1:
+            raise RuntimeError("died")
+
+    with pytest.raises(RuntimeError):
+        inputs.write_passes(spark, folder, f"{folder}/half", fails)
+    assert not folders.exists(spark, f"{folder}/half")
+    inputs.write_passes(spark, folder, f"{folder}/half", lambda part, path: inputs.write_lines(
+        inputs._message_lines(spark, folder, part), path, "append"))
+    assert _plain_rows(spark.read.text(f"{folder}/half")) == lines
