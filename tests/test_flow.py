@@ -616,6 +616,15 @@ def test_batch_log_in_passes(spark, in_passes):
     assert tuple(flow_queries.stream_batch_log(spark, in_passes[0]).first()) == (118, valid, rejected, True)
 
 
+def test_silver_in_passes(spark, in_passes):
+    """A load for each part; bronze files are gone once taken."""
+    folder, made = in_passes
+    got = flow_queries.stream_silver(spark, folder)
+    assert _plain_rows(got.select(flow_queries.KEYS)) == _plain_rows(_expected(spark, folder)[0].select(flow_queries.KEYS))
+    assert len([name for name in folders.subfolders(spark, f"{made[0]}/silver") if name.startswith("load=")]) == 3
+    assert not folders.exists(spark, f"{made[0]}/bronze")
+
+
 def test_staged_files_in_passes(spark, in_passes):
     """Messages and routed files are the same lines, and have their name only when all passes are done."""
     folder, _ = in_passes
