@@ -625,6 +625,15 @@ def test_silver_in_passes(spark, in_passes):
     assert not folders.exists(spark, f"{made[0]}/bronze")
 
 
+def test_rejects_compacted_in_passes(spark, in_passes):
+    """The rejects of all batches, twice; the valid rows, which nothing reads, are gone."""
+    folder, made = in_passes
+    rejected = _expected(spark, folder)[1].select(flow_queries.KEYS)
+    assert _plain_rows(flow_queries.dlq_compaction_live(spark, folder)) == _plain_rows(rejected.unionAll(rejected))
+    left = list_files(spark, f"{made[0]}/landing/route=bronze").count() if folders.exists(spark, f"{made[0]}/landing/route=bronze") else 0
+    assert left == 0
+
+
 def test_staged_files_in_passes(spark, in_passes):
     """Messages and routed files are the same lines, and have their name only when all passes are done."""
     folder, _ = in_passes
