@@ -634,6 +634,17 @@ def test_rejects_compacted_in_passes(spark, in_passes):
     assert left == 0
 
 
+def test_repeated_messages_in_passes(spark, in_passes):
+    """Each message once although all parts come again; no snapshot beside the changes of the state, no message file left."""
+    folder, made = in_passes
+    lines = inputs.messages(spark, folder).distinct().where("NOT startswith(value, 'not json ')")
+    want = parse_reviews(lines).select(flow_queries.KEYS)
+    assert _plain_rows(flow_queries.stream_repeated_messages(spark, folder)) == _plain_rows(want)
+    assert not folders.exists(spark, f"{made[0]}/in")
+    names = [row.path for row in list_files(spark, f"{made[0]}/checkpoint/state").collect()]
+    assert names and not [name for name in names if name.endswith(".snapshot")]
+
+
 def test_staged_files_in_passes(spark, in_passes):
     """Messages and routed files are the same lines, and have their name only when all passes are done."""
     folder, _ = in_passes
